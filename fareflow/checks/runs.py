@@ -101,14 +101,20 @@ _LOAD_TESTS_SQL = f"SELECT * FROM ({_LOG_SQL}) AS log WHERE starts_with(config,
 _MEANS_SQL = f"SELECT config, avg(duration_seconds) AS m FROM ({_LOAD_TESTS_SQL}) AS runs GROUP BY config"
 _BEST_COLUMNS_SQL = f"""(SELECT config FROM ({_MEANS_SQL}) AS a ORDER BY m, config LIMIT 1) AS best_config,
   (SELECT config FROM ({_MEANS_SQL}) AS b ORDER BY m DESC, config LIMIT 1) AS worst_config"""
+
+
+def _rounded_sql(value: str, digits: int) -> str:
+    return f"round_even({value} * {10**digits}, 0) / {10**digits}"
+
+
 _FIGURES_SQL = {
-    "mean": "round_even(avg(duration_seconds), 2)",
-    "std": "round_even(stddev_samp(duration_seconds), 2)",
-    "min": "round_even(min(duration_seconds), 2)",
-    "max": "round_even(max(duration_seconds), 2)",
+    "mean": _rounded_sql("avg(duration_seconds)", 2),
+    "std": _rounded_sql("stddev_samp(duration_seconds)", 2),
+    "min": _rounded_sql("min(duration_seconds)", 2),
+    "max": _rounded_sql("max(duration_seconds)", 2),
     "count": "count(duration_seconds)",
-    "success_rate": "round_even(avg(CAST(success AS DOUBLE)), 4)",
-    "throughput_runs_per_hour": "round_even(3600 / avg(duration_seconds), 2)",
+    "success_rate": _rounded_sql("avg(CAST(success AS DOUBLE))", 4),
+    "throughput_runs_per_hour": _rounded_sql("3600 / avg(duration_seconds)", 2),
 }
 
 
@@ -123,7 +129,7 @@ ORACLES = {
     "runlog_rates": _grouped_sql(
         {
             "success_rate": _FIGURES_SQL["success_rate"],
-            "throughput_runs_per_hour": "round_even(3600 / avg(duration_seconds), 4)",
+            "throughput_runs_per_hour": _rounded_sql("3600 / avg(duration_seconds)", 4),
         }
     ),
     "runlog_totals": f"""SELECT count(*) AS total_runs, count(*) FILTER (success) AS successful_runs,
@@ -132,7 +138,7 @@ FROM ({_LOAD_TESTS_SQL}) AS runs""",
     "runlog_best_worst": f"SELECT {_BEST_COLUMNS_SQL}",
     "runlog_ties": f"SELECT min(config) AS best_config, min(config) AS worst_config FROM ({_LOAD_TESTS_SQL}) AS runs",
     "runlog_append": f"""SELECT "timestamp", query_id, input,
-  round_even(duration_seconds / 7, 2) AS duration_seconds, success, config FROM ({_LOG_SQL}) AS log""",
+  CAST(printf('%.2f', duration_seconds / 7) AS DOUBLE) AS duration_seconds, success, config FROM ({_LOG_SQL}) AS log""",
     "runlog_analysis": "\nUNION ALL\n".join(
         f"""SELECT {_BEST_COLUMNS_SQL}, '{name}' AS figure, config, CAST(v AS DOUBLE) AS "value"
 FROM ({_grouped_sql({"v": sql})}) AS grouped"""

@@ -4,9 +4,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_half_even(value: Column, digits: int) -> Column:
-    """Half-even on the shortest decimal form: how array libraries round."""
-    return F.bround(value, digits)
+def round_scaled(value: Column, digits: int) -> Column:
+    """Half-even after scaling by a power of ten: how array libraries round."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale
 
 
 def fixed_text(value: Column, digits: int) -> Column:

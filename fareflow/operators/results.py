@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from fareflow import schemas as S
 from fareflow.functions.rounding import fixed_text, right_align
+from fareflow.sources import storage
 
 # Column titles and widths of the printed preview.
 PREVIEW_COLUMNS = {
@@ -22,6 +23,8 @@ def stored_runs(spark: SparkSession, root: str) -> DataFrame:
 
     No prediction is read, so the cost follows the number of files and not of rows.
     """
+    if not storage.exists(spark, root):
+        return spark.createDataFrame([], "query_id string, files bigint, bytes bigint")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(root)
     if "query_id" not in files.columns:
         files = files.withColumn("query_id", F.lit(None).cast("string"))

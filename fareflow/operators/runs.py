@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fareflow import schemas as S
 from fareflow.functions.naming import base_name
-from fareflow.functions.rounding import round_half_even
+from fareflow.functions.rounding import round_exact, round_scaled
 
 
 def load_test_runs(log: DataFrame) -> DataFrame:
@@ -17,8 +17,13 @@ def load_test_runs(log: DataFrame) -> DataFrame:
 
 
 def config_stats(log: DataFrame) -> DataFrame:
-    """Unrounded figures per load-test configuration."""
+    """Unrounded figures per load-test configuration.
+
+    Time stamps are compared as times: text extremes would turn the hash aggregate
+    into a sort of the whole log.
+    """
     seconds = F.col("duration_seconds")
+    logged_at = F.col("timestamp").try_cast("timestamp_ntz")
     return (
         load_test_runs(log)
         .groupBy("config")
@@ -32,8 +37,8 @@ def config_stats(log: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("runs"),
             F.count_if("success").alias("successful"),
             F.count_if(~F.col("success")).alias("failed"),
-            F.min("timestamp").alias("first_run"),
-            F.max("timestamp").alias("last_run"),
+            F.min(logged_at).alias("first_run"),
+            F.max(logged_at).alias("last_run"),
         )
     )
 
@@ -46,10 +51,10 @@ def runs_by_config(stats: DataFrame, throughput_digits: int = 2) -> DataFrame:
     """One row per configuration, rounded as reported."""
     return stats.select(
         "config",
-        *[round_half_even(F.col(c), 2).alias(c) for c in ("mean", "std", "min", "max")],
+        *[round_scaled(F.col(c), 2).alias(c) for c in ("mean", "std", "min", "max")],
         "count",
-        round_half_even(F.col("success_rate"), 4).alias("success_rate"),
-        round_half_even(_throughput(), throughput_digits).alias("throughput_runs_per_hour"),
+        round_scaled(F.col("success_rate"), 4).alias("success_rate"),
+        round_scaled(_throughput(), throughput_digits).alias("throughput_runs_per_hour"),
     )
 
 
@@ -73,8 +78,8 @@ def _total_columns() -> list[Column]:
                 ("failed", "failed_runs"),
             )
         ],
-        F.min("first_run").alias("start"),
-        F.max("last_run").alias("end"),
+        F.min("first_run").cast("string").alias("start"),
+        F.max("last_run").cast("string").alias("end"),
         *_extreme_configs(),
     ]
 
@@ -92,14 +97,14 @@ def _by_config(value: Column) -> Column:
 def analysis_record(stats: DataFrame) -> DataFrame:
     """The whole analysis as one nested row; it holds one map entry per configuration."""
     performance = [
-        _by_config(round_half_even(F.col(c), 2)).alias(c) for c in ("mean", "std", "min", "max")
+        _by_config(round_scaled(F.col(c), 2)).alias(c) for c in ("mean", "std", "min", "max")
     ]
     figures = stats.agg(
         *_total_columns(),
         *performance,
         _by_config(F.col("count")).alias("count"),
-        _by_config(round_half_even(F.col("success_rate"), 4)).alias("success_rate"),
-        _by_config(round_half_even(_throughput(), 2)).alias("throughput_runs_per_hour"),
+        _by_config(round_scaled(F.col("success_rate"), 4)).alias("success_rate"),
+        _by_config(round_scaled(_throughput(), 2)).alias("throughput_runs_per_hour"),
     )
     return figures.select(
         F.date_format(F.current_timestamp(), S.SECOND_FORMAT).alias("timestamp"),
@@ -121,7 +126,7 @@ def log_rows(runs: DataFrame) -> DataFrame:
         F.date_format("timestamp", S.SECOND_FORMAT).alias("timestamp"),
         "query_id",
         base_name(F.col("path")).alias("input"),
-        round_half_even(F.col("seconds"), 2).alias("duration_seconds"),
+        round_exact(F.col("seconds"), 2).alias("duration_seconds"),
         "success",
         F.coalesce("config", F.lit(S.DEFAULT_CONFIG)).alias("config"),
     )

@@ -11,7 +11,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,8 +88,8 @@ def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = N
     reader = spark.read.option("header", "true") if format == "csv" else spark.read
     try:
         found = reader.format(format).load(path).schema
-    except AnalysisException as error:
-        raise UnreadableTrips(f"{path}: {error.getMessage()}") from error
+    except (PySparkException, Py4JJavaError) as error:
+        raise UnreadableTrips(f"{path}: {str(error).splitlines()[0]}") from error
     by_name = {f.name.lower(): f for f in found.fields}
     needed = S.trip_columns(labelled)
     missing = [c for c in needed if c.lower() not in by_name]
