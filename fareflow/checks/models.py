@@ -14,14 +14,14 @@ from fareflow import schemas as S
 from fareflow.checks import views as V
 from fareflow.checks.trips import clean_labelled, cleaned_round_trip
 from fareflow.operators.model import fit_fares, load_model, predict, save_model
-from fareflow.operators.results import rows_per_run
+from fareflow.operators.results import result_catalogue, rows_per_run, stored_runs
 from fareflow.plans.evaluation import evaluate_cleaned
 from fareflow.plans.scoring import score, score_files, score_path
 from fareflow.plans.training import train_on_cleaned
 from fareflow.session import scratch_path
 from fareflow.sources import storage
 from fareflow.sources.tables import read_predictions, read_predictions_by_run
-from fareflow.streaming.intake import arriving_trips, start_intake
+from fareflow.streaming.intake import arriving_trips, landed_runs, start_intake
 
 # Boosting rounds here; the library's default is the published model's number.
 ROUNDS = 5
@@ -89,10 +89,9 @@ def _score_all(spark: SparkSession, sf_dir: str, paths: list[str], root: str) ->
 def score_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet and CSV inputs at once, among them one without valid rows and one without a column."""
     root = scratch_path(spark, "many-files")
+    kinds = {**V.TRIPS, "kind": "concat(event_type, '.parquet')"}
+    V.view(spark, sf_dir, "events", kinds).write.partitionBy("kind").parquet(f"{root}/in")
     trips = V.event_trips(spark, sf_dir)
-    kinds = V.table(spark, sf_dir, "events").select(F.col("event_id").alias("trip_id"), "event_type")
-    typed = trips.join(kinds, "trip_id").withColumn("kind", F.concat("event_type", F.lit(".parquet")))
-    typed.drop("event_type").write.partitionBy("kind").parquet(f"{root}/in")
     idle = trips.filter("passenger_count = 0")
     idle.write.option("header", "true").csv(f"{root}/idle.csv")
     trips.drop("passenger_count").write.option("header", "true").csv(f"{root}/faceless.csv")
@@ -120,6 +119,22 @@ def stream_intake_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored_flag(read_predictions_by_run(spark, f"{root}/out", "parquet")).drop("query_id")
 
 
+_LANDING_KIND = "CASE WHEN event_id % 8 = 0 THEN 'idle' ELSE event_type END"
+
+
+def stream_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which landed files a stream has scored: one file per event type and one without a valid row."""
+    root = scratch_path(spark, "stream")
+    trips = V.view(spark, sf_dir, "events", {**V.TRIPS, "kind": _LANDING_KIND})
+    trips.hint("rebalance", "kind").write.partitionBy("kind").parquet(f"{root}/landing")
+    arriving = arriving_trips(spark, f"{root}/landing", trips.drop("kind").schema)
+    start_intake(saved_model(spark, sf_dir), arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    landed = landed_runs(spark, f"{root}/landing")
+    status = result_catalogue(landed, stored_runs(spark, f"{root}/out"))
+    kind = F.regexp_extract("path", "kind=([a-z]+)", 1).alias("kind")
+    return landed.join(status, "query_id").select(kind, "status").distinct()
+
+
 QUERIES = {
     "gbt_train_eval": gbt_train_eval,
     "gbt_evaluate": gbt_evaluate,
@@ -129,6 +144,7 @@ QUERIES = {
     "score_files": score_many_files,
     "score_months": score_months,
     "stream_intake_score": stream_intake_score,
+    "stream_catalog": stream_catalog,
 }
 
 _UNLABELLED_SQL = V.cleaned_sql(labelled=False)
@@ -136,7 +152,7 @@ _UNLABELLED_SQL = V.cleaned_sql(labelled=False)
 _FLAGGED_SQL = f"""SELECT trip_distance, PULocationID, DOLocationID, passenger_count, TRUE AS prediction
 FROM ({_UNLABELLED_SQL}) AS cleaned"""
 
-_KINDS_SQL = f"SELECT trips.*, event_type FROM ({V.trips_sql()}) AS trips JOIN events ON event_id = trip_id"
+_KINDS_SQL = V.as_sql("events", {**V.TRIPS, "event_type": "event_type"})
 
 _MONTHS_SQL = V.as_sql("lineitem", V.LINE_TRIPS)
 
@@ -152,4 +168,7 @@ UNION ALL SELECT 'faceless.csv', FALSE, 'config_check', 0""",
   count(*) FILTER ({V.VALID_SQL}) > 0 AS success, 'config_check' AS config, count(*) FILTER ({V.VALID_SQL}) AS "rows"
 FROM ({_MONTHS_SQL}) AS trips GROUP BY 1""",
     "stream_intake_score": _FLAGGED_SQL,
+    "stream_catalog": f"""SELECT kind, CASE WHEN count(*) FILTER ({V.VALID_SQL}) > 0 THEN 'complete' ELSE 'no results' END AS status
+FROM ({V.as_sql("events", {**V.TRIPS, "kind": _LANDING_KIND})}) AS trips
+GROUP BY kind""",
 }

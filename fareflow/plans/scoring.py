@@ -25,6 +25,7 @@ from fareflow.sources.trips import (
     INPUT_URI,
     UnreadableTrips,
     check_inputs,
+    existing,
     group_layouts,
     read_clean_trips,
     scan,
@@ -98,4 +99,5 @@ def score_files(
     except Exception:
         write_log(set())
         raise
-    return write_log({u for u in uris if storage.exists(spark, f"{root}/query_id={names.of(u)}")})
+    stored = existing(spark, [f"{root}/query_id={names.of(u)}" for u in uris])
+    return write_log({u for u, there in zip(uris, stored) if there})

@@ -52,10 +52,16 @@ def input_format(path: str) -> str:
     raise ValueError(f"{path}: trips must be .csv or .parquet")
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[bool]:
+    with ThreadPoolExecutor(PROBE_THREADS) as pool:
+        return list(pool.map(lambda path: storage.exists(spark, path), paths))
+
+
 def check_inputs(spark: SparkSession, paths: Iterable[str]) -> None:
     """Refuses missing paths and unknown suffixes before any job starts."""
-    for path in paths:
-        if not storage.exists(spark, path):
+    paths = list(paths)
+    for path, there in zip(paths, existing(spark, paths)):
+        if not there:
             raise FileNotFoundError(path)
         input_format(path)
 
@@ -70,9 +76,7 @@ def month_paths(
     """The monthly files that exist; having none at all is an error."""
     months = tuple(months)
     wanted = [f"{root}/{pattern.format(year=y, month=m)}" for y in years for m in months]
-    with ThreadPoolExecutor(PROBE_THREADS) as pool:
-        present = list(pool.map(lambda path: storage.exists(spark, path), wanted))
-    found = [path for path, there in zip(wanted, present) if there]
+    found = [path for path, there in zip(wanted, existing(spark, wanted)) if there]
     if not found:
         raise FileNotFoundError(f"no monthly file under {root}")
     return found

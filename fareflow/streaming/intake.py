@@ -6,7 +6,7 @@ sink's log keeps every input file's rows exactly once.
 """
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +18,21 @@ from fareflow.operators.model import predict
 from fareflow.session import scratch_path
 
 
+def _run_of_file() -> Column:
+    arrived = F.date_format(F.col("_metadata.file_modification_time"), "yyyyMMdd_HHmmss")
+    return run_name(arrived, F.col("_metadata.file_path"))
+
+
+def landed_runs(spark: SparkSession, landing: str) -> DataFrame:
+    """(query_id, path) of every file in the folder, from its listing.
+
+    Joined with the stored runs it tells which files were scored, without any state
+    in the stream.
+    """
+    files = spark.read.format("binaryFile").load(landing)
+    return files.select(_run_of_file().alias("query_id"), "path")
+
+
 def arriving_trips(
     spark: SparkSession,
     landing: str,
@@ -36,9 +51,7 @@ def arriving_trips(
         reader = reader.option("header", "true").option("enforceSchema", "false")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    arrived = F.date_format(F.col("_metadata.file_modification_time"), "yyyyMMdd_HHmmss")
-    name = run_name(arrived, F.col("_metadata.file_path"))
-    return reader.format(format).load(landing).withColumn("query_id", name)
+    return reader.format(format).load(landing).withColumn("query_id", _run_of_file())
 
 
 def start_intake(
