@@ -121,7 +121,7 @@ def csv_intake_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _drifting_months(spark: SparkSession, sf_dir: str, root: str) -> None:
+def drifting_months(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Line items as monthly folders whose column types change with the year."""
     trips = V.line_trips(spark, sf_dir).withColumn("part", F.date_format(S.PICKUP, "yyyy-MM"))
     late = F.year(S.PICKUP) >= 1998
@@ -132,7 +132,7 @@ def _drifting_months(spark: SparkSession, sf_dir: str, root: str) -> None:
         slices.hint("rebalance", "part").write.mode("append").partitionBy("part").parquet(root)
 
 
-def _month_years(spark: SparkSession, sf_dir: str) -> range:
+def month_years(spark: SparkSession, sf_dir: str) -> range:
     shipped = V.table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("y"))
     first, last = shipped.agg(F.min("y"), F.max("y")).first()
     return range(first, last + 1)
@@ -143,8 +143,8 @@ MONTH_FOLDER = "part={year}-{month:02d}"
 
 def monthly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "months")
-    _drifting_months(spark, sf_dir, f"{root}/raw")
-    years = _month_years(spark, sf_dir)
+    drifting_months(spark, sf_dir, f"{root}/raw")
+    years = month_years(spark, sf_dir)
     preprocess_months(spark, f"{root}/raw", years, f"{root}/cleaned", pattern=MONTH_FOLDER)
     return read_cleaned(spark, f"{root}/cleaned")
 
@@ -152,8 +152,8 @@ def monthly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def monthly_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The by-month layout, read back for two years only."""
     root = scratch_path(spark, "by-month")
-    _drifting_months(spark, sf_dir, f"{root}/raw")
-    years = _month_years(spark, sf_dir)
+    drifting_months(spark, sf_dir, f"{root}/raw")
+    years = month_years(spark, sf_dir)
     preprocess_months(
         spark, f"{root}/raw", years, f"{root}/cleaned", pattern=MONTH_FOLDER, by_month=True
     )

@@ -1,5 +1,7 @@
 """The fare model: seven numeric features into gradient-boosted trees."""
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,6 +15,8 @@ MAX_ITER = 50
 MAX_DEPTH = 5
 SEED = 42
 
+# Binned rows a task keeps at hand, about 400 MB of them; what does not fit spills.
+ROWS_PER_PARTITION = 2_000_000
 # Rounds between lineage cuts, so a lost executor replays a few rounds, not all.
 CHECKPOINT_ROUNDS = 10
 
@@ -36,20 +40,22 @@ def fare_model(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int =
     )
 
 
+def _even_partitions(rows: DataFrame) -> int:
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return max(tasks, math.ceil(rows.count() / ROWS_PER_PARTITION))
+
+
 def fit_fares(train: DataFrame, partitions: int | None = None, **params) -> PipelineModel:
-    """Fits on rows dealt evenly over `partitions` tasks.
+    """Fits on rows dealt evenly over tasks.
 
     Boosting passes over its rows once per tree level and round, and each pass lasts
     as long as its largest partition. One shuffle of eight narrow columns removes
     the unevenness of file splits; dealing by row, not by key, keeps copies apart.
+    Without `partitions` the rows are counted first, one scan against hundreds.
     """
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
-    if partitions is None:
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(configured, spark.sparkContext.defaultParallelism)
-    rows = train.select(*S.CLEANED_COLUMNS).repartition(partitions)
-    return fare_model(**params).fit(rows)
+    ensure_checkpoint_dir(train.sparkSession)
+    rows = train.select(*S.CLEANED_COLUMNS)
+    return fare_model(**params).fit(rows.repartition(partitions or _even_partitions(rows)))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
