@@ -7,14 +7,18 @@ are checked for rows only, the others state what must hold whatever was fitted.
 from functools import cache
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow import schemas as S
 from fareflow.checks import views as V
-from fareflow.checks.trips import clean_labelled, cleaned_round_trip
+from fareflow.checks.trips import clean_labelled, cleaned_round_trip, portable_bucket
+from fareflow.operators.features import clean_trips
+from fareflow.operators.metrics import TOLERANCES, regression_metrics
 from fareflow.operators.model import fit_fares, load_model, predict, save_model
 from fareflow.operators.results import result_catalogue, rows_per_run, stored_runs
+from fareflow.operators.split import hash_split
 from fareflow.plans.evaluation import evaluate_cleaned
 from fareflow.plans.scoring import score, score_files, score_path
 from fareflow.plans.training import train_on_cleaned
@@ -54,6 +58,25 @@ def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(saved_model(spark, sf_dir), V.event_trips(spark, sf_dir), keep=["trip_id"])
 
 
+def gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out quality of fitted trees: learned, better than the mean fare, and as MLlib's evaluator has it."""
+    trips = clean_trips(V.event_trips(spark, sf_dir), labelled=True, keep=["trip_id"])
+    train, test = hash_split(trips, bucket=portable_bucket())
+    scored = predict(fit_fares(train, max_iter=ROUNDS), test)
+    metrics = regression_metrics(scored)
+    agreement = []
+    for name in ("rmse", "r2", "mae"):
+        expected = RegressionEvaluator(labelCol=S.LABEL, predictionCol=S.PREDICTION, metricName=name).evaluate(scored)
+        agreement.append((F.abs(F.col(name) - expected) <= 1e-9 * (1 + abs(expected))).alias(f"{name}_agrees"))
+    within = [F.col(f"percentage_within_{t}_dollar") for t in TOLERANCES]
+    return metrics.select(
+        "test_records",
+        (F.col("r2") > 0.8).alias("learned"),
+        *agreement,
+        ((within[0] <= within[1]) & (within[1] <= within[2])).alias("shares_ordered"),
+    )
+
+
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows on which a model and its stored copy agree: all of them."""
     cleaned = clean_labelled(spark, sf_dir)
@@ -119,6 +142,23 @@ def stream_intake_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored_flag(read_predictions_by_run(spark, f"{root}/out", "parquet")).drop("query_id")
 
 
+def stream_batch_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream and a batch run over the same trips: how many predictions differ, counting copies."""
+    root = scratch_path(spark, "stream")
+    trips = V.line_trips(spark, sf_dir)
+    trips.repartition(4).write.parquet(f"{root}/landing")
+    model = saved_model(spark, sf_dir)
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=3)
+    start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    streamed = read_predictions_by_run(spark, f"{root}/out", "parquet").drop("query_id")
+    batch = score(model, trips)
+    sides = streamed.withColumn("copies", F.lit(1)).unionByName(batch.withColumn("copies", F.lit(-1)))
+    rows = sides.groupBy(*S.PREDICTION_COLUMNS).agg(
+        F.count_if(F.col("copies") > 0).alias("streamed"), F.sum("copies").alias("surplus")
+    )
+    return rows.agg(F.sum("streamed").alias("streamed"), F.sum(F.abs("surplus")).alias("differing"))
+
+
 _LANDING_KIND = "CASE WHEN event_id % 8 = 0 THEN 'idle' ELSE event_type END"
 
 
@@ -139,11 +179,13 @@ QUERIES = {
     "gbt_train_eval": gbt_train_eval,
     "gbt_evaluate": gbt_evaluate,
     "gbt_predict": gbt_predict,
+    "gbt_quality": gbt_quality,
     "model_round_trip": model_round_trip,
     "score_one_file": score_one_file,
     "score_files": score_many_files,
     "score_months": score_months,
     "stream_intake_score": stream_intake_score,
+    "stream_batch_agreement": stream_batch_agreement,
     "stream_catalog": stream_catalog,
 }
 
@@ -157,6 +199,11 @@ _KINDS_SQL = V.as_sql("events", {**V.TRIPS, "event_type": "event_type"})
 _MONTHS_SQL = V.as_sql("lineitem", V.LINE_TRIPS)
 
 ORACLES = {
+    "gbt_quality": f"""SELECT count(*) AS test_records, TRUE AS learned, TRUE AS rmse_agrees, TRUE AS r2_agrees,
+  TRUE AS mae_agrees, TRUE AS shares_ordered
+FROM ({V.cleaned_sql(extra=", trip_id")}) AS cleaned WHERE (trip_id * 7919 + 104729) % 100 >= 80""",
+    "stream_batch_agreement": f"""SELECT count(*) AS streamed, CAST(0 AS BIGINT) AS differing
+FROM ({V.cleaned_sql(_MONTHS_SQL, labelled=False)}) AS cleaned""",
     "model_round_trip": f'SELECT count(*) AS trips, count(*) AS "equal" FROM ({V.cleaned_sql()}) AS cleaned',
     "score_one_file": _FLAGGED_SQL,
     "score_files": f"""SELECT concat('kind=', event_type, '.parquet') AS input,

@@ -171,14 +171,14 @@ def cleaned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cleaned(spark, f"{root}/cleaned")
 
 
-def _portable_bucket() -> Column:
+def portable_bucket() -> Column:
     """A bucket both engines compute alike; jobs use the default row hash."""
     return F.pmod(F.col("trip_id") * 7919 + 104729, F.lit(100))
 
 
 def hash_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = clean_labelled(spark, sf_dir)
-    train, test = hash_split(cleaned, bucket=_portable_bucket())
+    train, test = hash_split(cleaned, bucket=portable_bucket())
     sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
     return sides.groupBy("side").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("trip_id").alias("trip_id_sum")
