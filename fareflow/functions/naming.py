@@ -1,11 +1,10 @@
 """Names of scoring runs and of their inputs."""
 
-import hashlib
-import uuid
+import secrets
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,28 +12,36 @@ def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def run_name(stamp: Column, key: Column) -> Column:
-    """`query_<yyyymmdd_HHMMSS>_<8 hex>`, the hex part a digest of `key`."""
-    return F.concat(F.lit("query_"), stamp, F.lit("_"), F.substring(F.md5(key), 1, 8))
+def run_name(stamp: Column, *key: Column) -> Column:
+    """`query_<yyyymmdd_HHMMSS>_<8 hex>`, the hex part a digest of `key`.
+
+    It is evaluated for every row of a file, hence the cheap digest.
+    """
+    low_bits = F.xxhash64(*key).bitwiseAND(F.lit(0xFFFFFFFF))
+    digits = F.lpad(F.hex(low_bits), 8, "0")
+    return F.lower(F.concat(F.lit("query_"), stamp, F.lit("_"), digits))
 
 
 class RunNames:
     """Run names for the inputs of one submission.
 
     The digest covers the input's address and a random salt, so an executor derives
-    the name for the file it is reading without a lookup table, and the driver
-    derives the same name for the log.
+    the name for the file it is reading without a lookup table. The salt is drawn
+    again in the rare case that two inputs would share a name.
     """
 
-    def __init__(self, uris: Sequence[str]):
+    def __init__(self, spark: SparkSession, uris: Sequence[str]):
         self._stamp = datetime.now(UTC).strftime("%Y%m%d_%H%M%S")
-        self._salt = uuid.uuid4().hex
-        while len({self.of(u) for u in uris}) < len(set(uris)):
-            self._salt = uuid.uuid4().hex
+        inputs = spark.createDataFrame([(u,) for u in uris], "uri string")
+        names: dict[str, str] = {}
+        while len(set(names.values())) < len(set(uris)):
+            self._salt = secrets.randbits(62)
+            named = inputs.select("uri", self.column(F.col("uri")).alias("name"))
+            names = {row.uri: row.name for row in named.collect()}
+        self._names = names
 
     def of(self, uri: str) -> str:
-        digest = hashlib.md5((self._salt + uri).encode()).hexdigest()
-        return f"query_{self._stamp}_{digest[:8]}"
+        return self._names[uri]
 
     def column(self, uri: Column) -> Column:
-        return run_name(F.lit(self._stamp), F.concat(F.lit(self._salt), uri))
+        return run_name(F.lit(self._stamp), F.lit(self._salt), uri)

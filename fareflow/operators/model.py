@@ -41,8 +41,10 @@ def fare_model(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int =
 
 
 def _even_partitions(rows: DataFrame) -> int:
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return max(tasks, math.ceil(rows.count() / ROWS_PER_PARTITION))
+    """Whole waves of tasks, so that no core idles at the end of a pass."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    waves = math.ceil(rows.count() / (ROWS_PER_PARTITION * cores))
+    return max(1, waves) * cores
 
 
 def fit_fares(train: DataFrame, partitions: int | None = None, **params) -> PipelineModel:

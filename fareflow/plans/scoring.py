@@ -23,6 +23,7 @@ from fareflow.sources import storage
 from fareflow.sources.tables import append_run_log, write_predictions, write_predictions_by_run
 from fareflow.sources.trips import (
     INPUT_URI,
+    Layout,
     UnreadableTrips,
     check_inputs,
     existing,
@@ -51,6 +52,32 @@ def score_path(spark: SparkSession, model: PipelineModel, path: str, out: str, f
     write_predictions(predict(model, cleaned), out, format)
 
 
+def _write_one(
+    spark: SparkSession, model: PipelineModel, groups: dict[Layout, list[str]], out: str, format: str
+) -> None:
+    """One input's rows need neither a name of their own nor a sort by it."""
+    ((layout, paths),) = groups.items()
+    cleaned = clean_trips(scan(spark, layout, paths), labelled=False)
+    if not cleaned.isEmpty():
+        write_predictions(predict(model, cleaned), out, format)
+
+
+def _write_many(
+    spark: SparkSession,
+    model: PipelineModel,
+    groups: dict[Layout, list[str]],
+    names: RunNames,
+    root: str,
+    format: str,
+) -> None:
+    frames = [
+        clean_trips(scan(spark, layout, paths, name_input=True), labelled=False, keep=[INPUT_URI])
+        for layout, paths in groups.items()
+    ]
+    scored = predict(model, reduce(DataFrame.unionByName, frames))
+    write_predictions_by_run(scored.withColumn("query_id", names.column(F.col(INPUT_URI))), root, format)
+
+
 _RUN_SCHEMA = "timestamp timestamp, query_id string, path string, seconds double, success boolean, config string"
 
 
@@ -73,7 +100,7 @@ def score_files(
     uris = {storage.uri(spark, p): p for p in paths}
     if len(uris) < len(paths):
         raise ValueError("the same input is given twice")
-    names = RunNames(list(uris))
+    names = RunNames(spark, list(uris))
     clock = time.monotonic()
 
     def write_log(succeeded: set[str]) -> DataFrame:
@@ -86,16 +113,12 @@ def score_files(
 
     unreadable: dict[str, UnreadableTrips] = {}
     groups = group_layouts(spark, paths, labelled=False, on_unreadable=unreadable.__setitem__)
-    frames = [
-        clean_trips(scan(spark, layout, members, name_input=True), labelled=False, keep=[INPUT_URI])
-        for layout, members in groups.items()
-    ]
-    if not frames:
-        return write_log(set())
-    scored = predict(model, reduce(DataFrame.unionByName, frames))
-    named = scored.withColumn("query_id", names.column(F.col(INPUT_URI)))
+    readable = [path for members in groups.values() for path in members]
     try:
-        write_predictions_by_run(named, root, format)
+        if len(readable) == 1:
+            _write_one(spark, model, groups, f"{root}/query_id={names.of(storage.uri(spark, readable[0]))}", format)
+        elif readable:
+            _write_many(spark, model, groups, names, root, format)
     except Exception:
         write_log(set())
         raise

@@ -15,9 +15,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def is_directory(spark: SparkSession, path: str) -> bool:
+def folder_depth(spark: SparkSession, path: str) -> int:
+    """Slashes up to and including the one after a folder's address; 0 for a file."""
     location, fs = _resolve(spark, path)
-    return fs.getFileStatus(location).isDirectory()
+    return uri(spark, path).count("/") + 1 if fs.getFileStatus(location).isDirectory() else 0
 
 
 def expand(spark: SparkSession, pattern: str) -> list[str]:
