@@ -7,11 +7,15 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution and UTC; keys in `conf` use `__` for `.`."""
+    """Session with adaptive execution and UTC; keys in `conf` use `__` for `.`.
+
+    Kryo keeps training rows that spill to disk small.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.ui.enabled", "false")
     )
     if master:

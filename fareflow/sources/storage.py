@@ -31,3 +31,15 @@ def uri(spark: SparkSession, path: str) -> str:
     """The address as the scan's `_metadata.file_path` spells it."""
     location, fs = _resolve(spark, path)
     return re.sub(r"^file:/+", "file:/", fs.makeQualified(location).toUri().toString())
+
+
+def promote_part(spark: SparkSession, folder: str, target: str) -> None:
+    """Turns a written folder's only part into the file `target`."""
+    location, fs = _resolve(spark, folder)
+    files = [status.getPath() for status in fs.listStatus(location)]
+    (part,) = [file for file in files if file.getName().startswith("part-")]
+    destination, _ = _resolve(spark, target)
+    fs.delete(destination, True)
+    if not fs.rename(part, destination):
+        raise OSError(f"cannot write {target}")
+    fs.delete(location, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow import schemas as S
+from fareflow.sources import storage
 
 # Above this stored size an export keeps several part files instead of one.
 SINGLE_FILE_BYTES = 1 << 30
@@ -27,6 +28,8 @@ def write_cleaned(df: DataFrame, path: str, by_month: bool = False) -> None:
 
 def read_cleaned(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:
     """Cleaned trips; `years` prunes folders and needs the by-month layout."""
+    if years is not None and not storage.expand(spark, f"{path}/year=*"):
+        raise ValueError(f"{path} has no year folders")
     schema = S.CLEANED if years is None else T.StructType([*S.CLEANED.fields, T.StructField("year", T.IntegerType())])
     df = spark.read.schema(schema).parquet(path)
     if years is not None:
@@ -97,13 +100,15 @@ def export_predictions(
     format: str = "csv",
     single_file_bytes: int = SINGLE_FILE_BYTES,
 ) -> None:
-    """Writes `<target>/<query_id>_results.csv`, a folder with one CSV part.
+    """Writes `<target>/<query_id>_results.csv`.
 
-    A result above `single_file_bytes` keeps its parts, so no single task has to
-    write it all; every row is exported either way.
+    A result above `single_file_bytes` becomes a folder of parts of that name, so no
+    single task has to write it all; every row is exported either way.
     """
-    stored = f"{root}/query_id={query_id}"
+    stored, out = f"{root}/query_id={query_id}", f"{target}/{query_id}_results.csv"
     result = read_predictions(spark, stored, format)
-    if stored_bytes(spark, stored) <= single_file_bytes:
-        result = result.coalesce(1)
-    write_predictions(result, f"{target}/{query_id}_results.csv")
+    if stored_bytes(spark, stored) > single_file_bytes:
+        write_predictions(result, out)
+    else:
+        write_predictions(result.coalesce(1), f"{out}.part")
+        storage.promote_part(spark, f"{out}.part", out)

@@ -151,6 +151,9 @@ def test_by_month_layout_prunes_and_keeps_every_row(spark, tmp_path):
     assert read_cleaned(spark, str(tmp_path / "c")).count() == 60
     year = read_cleaned(spark, str(tmp_path / "c"), years=[2021])
     assert year.schema.names == list(S.CLEANED_COLUMNS) and year.count() == 30
+    write_cleaned(df.select(*S.CLEANED_COLUMNS), str(tmp_path / "plain"))
+    with pytest.raises(ValueError):
+        read_cleaned(spark, str(tmp_path / "plain"), years=[2021])
     assert "PartitionFilters: [year" in year._jdf.queryExecution().toString().replace("isnotnull(year", "year")
 
 
@@ -178,9 +181,10 @@ def test_export_one_file_or_parts(spark, tmp_path):
     write_predictions(rows, f"{root}/query_id=query_x")
     export_predictions(spark, root, "query_x", str(tmp_path / "one"))
     export_predictions(spark, root, "query_x", str(tmp_path / "many"), single_file_bytes=10)
-    counts = {}
+    export_predictions(spark, root, "query_x", str(tmp_path / "one"))
     for target in ("one", "many"):
-        folder = tmp_path / target / "query_x_results.csv"
-        counts[target] = len(list(folder.glob("part-*.csv")))
-        assert sorted(read_predictions(spark, str(folder)).collect()) == sorted(rows.collect())
-    assert counts["one"] == 1 and counts["many"] > 1
+        exported = read_predictions(spark, str(tmp_path / target / "query_x_results.csv"))
+        assert sorted(exported.collect()) == sorted(rows.collect())
+    assert [p.name for p in (tmp_path / "one").iterdir() if p.suffix == ".csv"] == ["query_x_results.csv"]
+    assert (tmp_path / "one" / "query_x_results.csv").is_file()
+    assert len(list((tmp_path / "many" / "query_x_results.csv").glob("part-*.csv"))) > 1
