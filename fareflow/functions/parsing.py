@@ -20,8 +20,10 @@ def to_long(value: Column, stored: T.DataType) -> Column:
 
 
 def to_pickup_time(value: Column, stored: T.DataType) -> Column:
-    """Text is parsed; a stored timestamp, with or without zone, is kept as it is."""
-    return value.try_cast("timestamp") if isinstance(stored, T.StringType) else value
+    """Text needs a date; a time of day alone is no pickup time. Stored timestamps stay as they are."""
+    if not isinstance(stored, T.StringType):
+        return value
+    return F.when(value.try_cast("date").isNotNull(), value.try_cast("timestamp"))
 
 
 PARSERS = {"double": to_double, "bigint": to_long, "timestamp": to_pickup_time}

@@ -7,15 +7,11 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution and UTC; keys in `conf` use `__` for `.`.
-
-    Kryo keeps training rows that spill to disk small.
-    """
+    """Session with adaptive execution and UTC; keys in `conf` use `__` for `.`."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -33,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one process, may fall
     back to the machine's temporary folder.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -137,3 +137,29 @@ def test_cleaning_is_one_pushed_down_stage(spark, edge_rows, tmp_path):
         assert rule in pushed
     read = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
     assert "case" not in read
+
+
+TEXTS = """132|132.0|132.9| 132 |132. |+7|-7.9|-0|| |+|1e2|1.5e3|12 3|0x1A|1_000|NaN|nan|inf|Infinity|-inf|1.5f|1d|abc|null
+9223372036854775807|9223372036854775808|-9223372036854775808|9007199254740993.0|99999999999999999999.0|1,5|\t5\t
+2022-06-15 08:30:00|2022-06-15|2022-06|2022|08:30:00|T08:30|2022-06-15T08:30:00Z|2022-06-15 08:30:00.123|2022-06-15 08:30
+2022-6-5 8:3:0|2022-06-15 25:00:00|notadate|15/06/2022 08:30| 2022-06-15 08:30:00 |2022-06-15 08:30:00 UTC|2022-02-30 08:30:00"""
+
+
+def test_text_is_read_as_lenient_casts_read_it(spark):
+    """The published results come from casts that yield NULL; ours must agree while errors are on."""
+    texts = [text for line in TEXTS.split("\n") for text in line.split("|")]
+    rows = spark.createDataFrame([(text,) * 4 for text in texts], "text string, trip_distance string, PULocationID string, t string")
+    trips = rows.selectExpr("*", "'1' AS passenger_count", "'1' AS DOLocationID", "t AS tpep_pickup_datetime")
+    typed = typed_trips(trips, labelled=False, keep=["text"]).transform(with_calendar)
+    dated = F.col("tpep_pickup_datetime").isNotNull()
+    mine = typed.select("text", "trip_distance", "PULocationID", *[F.when(dated, F.col(c)) for c in ("hour", "day_of_week", "month")]).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        parts = [F.hour("t"), F.dayofweek("t"), F.month("t")]
+        complete = parts[0].isNotNull() & parts[1].isNotNull()
+        lenient = rows.select(
+            "text", F.col("trip_distance").cast("double"), F.col("PULocationID").cast("bigint"), *[F.when(complete, p) for p in parts]
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert list(map(repr, map(tuple, mine))) == list(map(repr, map(tuple, lenient)))
