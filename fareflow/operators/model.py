@@ -17,6 +17,8 @@ SEED = 42
 
 # Binned rows a task keeps at hand, about 400 MB of them; what does not fit spills.
 ROWS_PER_PARTITION = 2_000_000
+# Below this a task costs more to start than to run.
+MIN_ROWS_PER_PARTITION = 20_000
 # Rounds between lineage cuts, so a lost executor replays a few rounds, not all.
 CHECKPOINT_ROUNDS = 10
 
@@ -40,11 +42,11 @@ def fare_model(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int =
     )
 
 
-def _even_partitions(rows: DataFrame) -> int:
-    """Whole waves of tasks, so that no core idles at the end of a pass."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    waves = math.ceil(rows.count() / (ROWS_PER_PARTITION * cores))
-    return max(1, waves) * cores
+def _even_partitions(rows: int, cores: int) -> int:
+    """Whole waves of tasks, so that no core idles at the end of a pass; few tasks for few rows."""
+    if rows <= MIN_ROWS_PER_PARTITION * cores:
+        return max(1, math.ceil(rows / MIN_ROWS_PER_PARTITION))
+    return cores * math.ceil(rows / (ROWS_PER_PARTITION * cores))
 
 
 def fit_fares(train: DataFrame, partitions: int | None = None, **params) -> PipelineModel:
@@ -55,9 +57,12 @@ def fit_fares(train: DataFrame, partitions: int | None = None, **params) -> Pipe
     the unevenness of file splits; dealing by row, not by key, keeps copies apart.
     Without `partitions` the rows are counted first, one scan against hundreds.
     """
+    context = train.sparkSession.sparkContext
     ensure_checkpoint_dir(train.sparkSession)
     rows = train.select(*S.CLEANED_COLUMNS)
-    return fare_model(**params).fit(rows.repartition(partitions or _even_partitions(rows)))
+    if partitions is None:
+        partitions = _even_partitions(rows.count(), context.defaultParallelism)
+    return fare_model(**params).fit(rows.repartition(partitions))
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
