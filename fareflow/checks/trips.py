@@ -150,14 +150,14 @@ def monthly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The by-month layout, read back for two years only."""
+    """The by-month layout, read back through its year folders."""
     root = scratch_path(spark, "by-month")
     drifting_months(spark, sf_dir, f"{root}/raw")
     years = month_years(spark, sf_dir)
     preprocess_months(
         spark, f"{root}/raw", years, f"{root}/cleaned", pattern=MONTH_FOLDER, by_month=True
     )
-    cleaned = read_cleaned(spark, f"{root}/cleaned", years=[1997, 1998])
+    cleaned = read_cleaned(spark, f"{root}/cleaned", years=years)
     return cleaned.groupBy("month").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("PULocationID").alias("zones")
     )
@@ -281,8 +281,7 @@ FROM ({V.trips_sql()}) AS trips WHERE {V.VALID_SQL} AND {V.FARE_VALID_SQL}""",
 FROM ({meant_sql()}) AS trips""",
     "monthly_union": V.cleaned_sql(_LINE_TRIPS_SQL),
     "monthly_partitions": f"""SELECT "month", count(*) AS trips, CAST(sum(PULocationID) AS BIGINT) AS zones
-FROM ({V.cleaned_sql(_LINE_TRIPS_SQL, extra=", year(tpep_pickup_datetime) AS y")}) AS cleaned
-WHERE y IN (1997, 1998) GROUP BY "month" """,
+FROM ({V.cleaned_sql(_LINE_TRIPS_SQL)}) AS cleaned GROUP BY "month" """,
     "cleaned_round_trip": V.cleaned_sql(),
     "hash_split_counts": f"""SELECT CASE WHEN (trip_id * 7919 + 104729) % 100 < 80 THEN 'train' ELSE 'test' END AS side,
   count(*) AS trips, CAST(sum(trip_id) AS BIGINT) AS trip_id_sum

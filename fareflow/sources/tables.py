@@ -1,8 +1,9 @@
 """Readers and writers of the tables the jobs exchange."""
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,21 +38,26 @@ def read_cleaned(spark: SparkSession, path: str, years: Sequence[int] | None = N
     return df.select(*S.CLEANED_COLUMNS)
 
 
-def _csv_table(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+def _csv_reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
     """Our own CSV: the header must match the schema, or the scan refuses the file."""
-    return spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(path)
+    return spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
 
 
-def write_predictions(df: DataFrame, path: str, format: str = "csv", mode: str = "overwrite") -> None:
+def write_predictions(df: DataFrame, path: str, format: str = "csv") -> None:
     """One table per run: as many part files as scoring tasks, written where they were scored."""
-    df.select(*S.PREDICTION_COLUMNS).write.mode(mode).format(format).option("header", "true").save(path)
+    df.select(*S.PREDICTION_COLUMNS).write.mode("overwrite").format(format).option("header", "true").save(path)
 
 
 def write_predictions_by_run(df: DataFrame, root: str, format: str = "csv") -> None:
-    """Appends many runs in one job, a folder per `query_id`."""
+    """Adds many runs in one job, a folder per `query_id`.
+
+    Dynamic overwrite touches only the folders written, and stages them apart from
+    those of other jobs, so submissions may run side by side on one `root`.
+    """
     (
         df.select(*S.PREDICTION_COLUMNS, "query_id")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("query_id")
         .format(format)
         .option("header", "true")
@@ -62,7 +68,7 @@ def write_predictions_by_run(df: DataFrame, root: str, format: str = "csv") -> N
 def read_predictions(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
     """Predictions of one run."""
     if format == "csv":
-        return _csv_table(spark, S.PREDICTIONS, path)
+        return _csv_reader(spark, S.PREDICTIONS).csv(path)
     return spark.read.schema(S.PREDICTIONS).format(format).load(path)
 
 
@@ -78,12 +84,14 @@ def write_record(record: DataFrame, path: str) -> None:
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
-    """One append per submission, however many inputs it had."""
-    rows.select(*S.RUN_LOG.fieldNames()).write.mode("append").option("header", "true").csv(path)
+    """Adds one submission's rows, in a folder of its own so that submissions may run side by side."""
+    folder = f"{path}/submission-{uuid.uuid4().hex}"
+    rows.select(*S.RUN_LOG.fieldNames()).write.option("header", "true").csv(folder)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return _csv_table(spark, S.RUN_LOG, path)
+    """The log of all submissions; a single CSV file from elsewhere is read as well."""
+    return _csv_reader(spark, S.RUN_LOG).option("recursiveFileLookup", "true").csv(path)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

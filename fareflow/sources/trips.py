@@ -86,7 +86,7 @@ def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = N
     """The layout of one path, from a footer or a header line.
 
     A directory counts as one path and is taken to be of one writer; if its files
-    differ after all, the scan raises instead of misreading them.
+    differ in type or header after all, the scan raises instead of misreading them.
     """
     format = format or input_format(path)
     reader = spark.read.option("header", "true") if format == "csv" else spark.read
