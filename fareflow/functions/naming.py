@@ -18,8 +18,8 @@ def run_name(stamp: Column, *key: Column) -> Column:
     It is evaluated for every row of a file, hence the cheap digest.
     """
     low_bits = F.xxhash64(*key).bitwiseAND(F.lit(0xFFFFFFFF))
-    digits = F.lpad(F.hex(low_bits), 8, "0")
-    return F.lower(F.concat(F.lit("query_"), stamp, F.lit("_"), digits))
+    digits = F.lpad(F.lower(F.hex(low_bits)), 8, "0")
+    return F.concat(F.lit("query_"), stamp, F.lit("_"), digits)
 
 
 class RunNames:
