@@ -9,9 +9,12 @@ pieces cut from its emptiest ones.
 """
 
 import os
+import string
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,7 @@ END_ID = 1
 # Windows a task holds open at most; 8 kB each.
 MAX_OPEN = 4096
 # Words whose ids a task keeps; about 200 bytes each.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -34,25 +37,68 @@ PIECES = (
 _ID = 4
 
 
+# The public byte-level alphabet. Printable bytes are themselves, the others follow U+00FF in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+ALPHABET = [chr(b) if b in _PRINTABLE else chr(256 + _OTHERS.index(b)) for b in range(256)]
+
+# Punctuation that the tokenizer splits from the letters before it: all of ASCII but the apostrophe.
+_TRAILING = string.punctuation.replace("'", "")
+
+
 class WordIds:
-    """Token ids as little-endian bytes. The tokenizer never joins text across a blank, so words can be kept."""
+    """Token ids of texts as little-endian bytes; those of words are kept as they are met.
+
+    The tokenizer never joins text across a blank. It splits a word of letters from the
+    punctuation after it and lower-cases it, so for such words, in the scripts below
+    U+0250 and composed, its model is asked for the letters alone; any other goes through all of it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._known = Tokenizer.from_file(path), {"": b""}
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            found = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            if missing := list(set(found).difference(self._known)):
-                if len(self._known) + len(missing) > CACHED_WORDS:
-                    self._known = {"": b""}
-                    missing = list(set(found) - {""})
-                encoded = self._tokenizer.encode_batch(missing, add_special_tokens=False)
-                self._known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(missing, encoded, strict=True))
-            yield b"".join(map(self._known.__getitem__, found))
+        self._words = {"": b""}
+        self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._stems: dict[str, bytes] = {}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _stem(self, stem: str) -> bytes:
+        if (known := self._stems.get(stem)) is None:
+            spelled = stem if stem.isascii() else "".join([ALPHABET[b] for b in stem.encode()])
+            known = self._packed([token.id for token in self._model.tokenize(spelled)])
+            if len(self._stems) >= CACHED_WORDS:
+                self._stems.clear()
+            self._stems[stem] = known
+        return known
+
+    def _new(self, word: str) -> bytes:
+        if (ids := self._words.get(word)) is not None:
+            return ids
+        stem = word.rstrip(_TRAILING)
+        low = stem.lower()
+        if low.isalpha() and (low.isascii() and stem.isascii() or max(stem) < "\u0250" and is_normalized("NFC", stem)):
+            ids = self._stem(low)
+            if len(stem) < len(word):
+                ids += self._new(word[len(stem) :])
+        else:
+            ids = self._packed(self._tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(self._words) >= CACHED_WORDS:
+            self._words.clear()
+            self._words[""] = b""
+        self._words[word] = ids
+        return ids
+
+    def of(self, text: str) -> bytes:
+        blank = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        found = blank.split(" ")
+        parts = list(map(self._words.get, found))
+        if None in parts:
+            parts = [self._new(word) if ids is None else ids for ids, word in zip(parts, found, strict=True)]
+        return b"".join(parts)
 
 
 class Packer:
@@ -178,8 +224,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for first, texts in text_chunks(batch.column(1)):
-                for at, ids in enumerate(word_ids(texts), first):
-                    rows += packer.add(keys[at], ids + end)
+                for at, text in enumerate(texts, first):
+                    rows += packer.add(keys[at], word_ids.of(text) + end)
                 if rows:
                     yield batch_of(rows)
                     rows = []
