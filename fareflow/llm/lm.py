@@ -14,7 +14,7 @@ length, goes to every task; the others' counts are joined by word.
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ END = b" "
 CLASSES = 64
 # Words with a class of their own, of which the text's end is one.
 OWN = 16
-# Rows of the weight matrix, a power of two: 4 MB.
+# Rows of the weight matrix, a power of two up to 65,536: 4 MB.
 ROWS = 1 << 14
 FEATURES = 6
 # The most frequent words, whose counts every task has; some 15 MB there.
@@ -43,6 +43,9 @@ TRAIN_SHARE = 4
 PASSES = 2
 DOCS_PER_TASK = 10_000
 RATE = 0.15
+LIMIT = 60.0
+# A row met more often in a batch is summed on its own beyond so many times.
+SINGLY = 24
 BATCH = 2048
 # Rows of a matrix that are averaged together, and groups in which tasks are averaged first.
 _SLAB, _SLOTS = 512, 16
@@ -69,6 +72,14 @@ class Vocabulary:
         self.total, self.distinct = total, distinct
         self.class_total = np.zeros(CLASSES)
         self.class_distinct = np.zeros(CLASSES)
+        self._by_end: dict[bytes, int] = {}
+
+    def class_of(self, word: bytes) -> int:
+        """That of a word that is not frequent; there are 65,792 ends of words at most."""
+        end = word[-2:]
+        if (kind := self._by_end.get(end)) is None:
+            kind = self._by_end[end] = class_of(word, self.own)
+        return kind
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 1) / (self.total + 1 * (self.distinct + 1)))
@@ -90,47 +101,55 @@ class Tokens:
     def __init__(self, vocabulary: Vocabulary, found: list[list[bytes]]):
         self.sizes = np.array([len(t) for t in found])
         size = int(self.sizes.sum())
-        numbers = (n for tokens in found for n in map(vocabulary.number.get, tokens, repeat(-1)))
-        self.number = np.fromiter(numbers, np.int64, size)
+        flat = list(chain.from_iterable(found))
+        self.number = np.fromiter(map(vocabulary.number.get, flat, repeat(-1)), np.int64, size)
         self.rare = np.flatnonzero(self.number < 0)
-        flat = [w for tokens in found for w in tokens] if len(self.rare) else []
         self.rare_words = [flat[k] for k in self.rare.tolist()]
         if len(vocabulary.hash):
             self.hash, self.kind = vocabulary.hash[self.number], vocabulary.kind[self.number]
         else:
             self.hash, self.kind = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.hash[self.rare] = np.fromiter(map(xxhash.xxh3_64_intdigest, self.rare_words), np.uint64, len(self.rare))
-        self.kind[self.rare] = [class_of(w, vocabulary.own) for w in self.rare_words]
+        self.kind[self.rare] = [vocabulary.class_of(w) for w in self.rare_words]
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def features(self) -> np.ndarray:
-        """(tokens, FEATURES) rows of the weight matrix; before a text there are ends."""
-        place = np.arange(len(self.hash)) - np.repeat(self.starts, self.sizes)
+        """(FEATURES, tokens) rows of the weight matrix; before a text there are ends."""
+        starts = [self.starts + k for k in range(3)]
 
         def back(values: np.ndarray, steps: int, filler) -> np.ndarray:
             moved = np.empty_like(values)
             moved[:steps] = filler
             moved[steps:] = values[:-steps]
-            moved[place < steps] = filler
+            for k in range(steps):
+                moved[starts[k][self.sizes > k]] = filler
             return moved
 
         end = np.uint64(xxhash.xxh3_64_intdigest(END))
         last, before = (back(self.hash, k, end) for k in (1, 2))
         kinds = self.kind.astype(np.uint64)
         k1, k2, k3 = (back(kinds, k, np.uint64(0)) for k in (1, 2, 3))
-        mixed = np.stack([np.zeros_like(last), last, before, k1 * np.uint64(CLASSES) + k2, k2 * np.uint64(CLASSES) + k3, last * np.uint64(31) + k2], 1)
-        mixed = (mixed ^ _SALT) * _SALT
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        return (mixed >> np.uint64(65 - ROWS.bit_length())).astype(np.int64)
+        many = np.uint64(CLASSES)
+        values = (np.zeros_like(last), last, before, k1 * many + k2, k2 * many + k3, last * np.uint64(31) + k2)
+        rows = np.empty((FEATURES, len(last)), np.int64)
+        for row, value, salt in zip(rows, values, _SALT, strict=True):
+            value = (value ^ salt) * salt
+            value ^= value >> np.uint64(31)
+            value *= np.uint64(0xBF58476D1CE4E5B9)
+            row[:] = value >> np.uint64(65 - ROWS.bit_length())
+        return rows
 
 
 def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    scores = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        scores += weights[rows[:, k]]
-    scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    """(tokens, classes) log probabilities; the sums of weights are held within LIMIT, so none overflows."""
+    scores = np.take(weights, rows[0], axis=0, mode="clip")
+    part = np.empty_like(scores)
+    for row in rows[1:]:
+        np.take(weights, row, axis=0, out=part, mode="clip")
+        scores += part
+    np.clip(scores, -LIMIT, LIMIT, out=scores)
+    np.exp(scores, out=part)
+    scores -= np.log(part.sum(axis=1))[:, None]
     return scores
 
 
@@ -143,17 +162,30 @@ class Trainer:
         self.seen = np.zeros(len(weights))
 
     def update(self, rows: np.ndarray, kinds: np.ndarray) -> None:
-        slope = np.exp(log_softmax(self.weights, rows))
-        slope[np.arange(len(rows)), kinds] -= 1
+        slope = log_softmax(self.weights, rows)
+        np.exp(slope, out=slope)
+        slope[np.arange(len(kinds)), kinds] -= 1
         flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
         ordered = flat[order]
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(ordered)) + 1])
-        which, count = ordered[starts], np.diff([*starts, len(ordered)])
-        total = np.add.reduceat(slope[order // rows.shape[1]], starts, axis=0)
-        total /= np.sqrt(count)[:, None]
-        self.squares[which] += total * total
-        self.weights[which] -= RATE * total / np.sqrt(self.squares[which])
+        starts = np.append(0, np.flatnonzero(np.diff(ordered)) + 1)
+        count = np.diff(starts, append=len(ordered))
+        # The rows met most often come first, so that those met k times or more are a prefix.
+        often = np.argsort(-count, kind="stable")
+        starts, count = starts[often], count[often]
+        which, order = ordered[starts], order % len(kinds)
+        total = np.zeros((len(which), CLASSES), np.float32)
+        for k, rest in enumerate(np.searchsorted(-count, -np.arange(1, min(count[0], SINGLY) + 1), "right")):
+            total[:rest] += np.take(slope, order[starts[:rest] + k], axis=0, mode="clip")
+        for row in range(int(np.searchsorted(-count, -SINGLY, "left"))):
+            total[row] += np.take(slope, order[starts[row] + SINGLY : starts[row] + count[row]], axis=0).sum(axis=0)
+        total /= np.sqrt(count)[:, None].astype(np.float32)
+        squares = np.take(self.squares, which, axis=0, mode="clip")
+        squares += total * total
+        self.squares[which] = squares
+        total *= RATE
+        total /= np.sqrt(squares)
+        self.weights[which] -= total
         self.seen[which] += count
 
     def slabs(self) -> Iterator[tuple[int, bytes]]:
@@ -204,10 +236,14 @@ def _summed(group: pa.Table) -> pa.Table:
 
 
 def _trained(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """The class model's weights after PASSES rounds of descent in tasks and averaging."""
+    """The class model's weights after PASSES rounds of descent in tasks and averaging.
+
+    At first only the feature that every token has weighs: the classes' own shares.
+    """
     docs = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(TRAIN_SHARE)) == 0)
     docs = docs.coalesce(blocks_for(docs.count(), DOCS_PER_TASK) + 5)
     weights = np.zeros((ROWS, CLASSES), np.float32)
+    weights[Tokens(vocabulary, [[END]]).features()[0, 0]] = np.log((vocabulary.class_total + 1) / (vocabulary.total + CLASSES))
     for _ in range(PASSES):
         given = sent(docs.sparkSession, (vocabulary, weights))
 
@@ -218,8 +254,8 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                 for _, texts in text_chunks(batch.column(1)):
                     tokens = known.read(texts)
                     rows = tokens.features()
-                    for low in range(0, len(rows), BATCH):
-                        trainer.update(rows[low : low + BATCH], tokens.kind[low : low + BATCH])
+                    for low in range(0, rows.shape[1], BATCH):
+                        trainer.update(rows[:, low : low + BATCH], tokens.kind[low : low + BATCH])
             slot = TaskContext.get().partitionId() % _SLOTS
             for block, slab in trainer.slabs():
                 yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([slot]), pa.array([slab], pa.binary())], names=["block", "slot", "slab"])
@@ -257,8 +293,8 @@ def _scored(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> Dat
                 rows = tokens.features()
                 score = np.concatenate(
                     [
-                        np.take_along_axis(log_softmax(model, rows[low : low + BATCH]), tokens.kind[low : low + BATCH, None], 1)[:, 0]
-                        for low in range(0, len(rows), BATCH)
+                        np.take_along_axis(log_softmax(model, rows[:, low : low + BATCH]), tokens.kind[low : low + BATCH, None], 1)[:, 0]
+                        for low in range(0, rows.shape[1], BATCH)
                     ]
                 ).astype(np.float64) / np.log(10)
                 common = tokens.number >= 0
