@@ -54,13 +54,6 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def list_column(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    """Arrow list column from one array per row."""
-    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
-    flat = np.concatenate(values) if values else np.empty(0)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, type=kind))
-
-
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for every node of the undirected edges (a, b), named by its smallest node.
 

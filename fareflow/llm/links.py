@@ -1,16 +1,17 @@
 """Connected groups of near-equal nodes, from buckets of candidates, with nothing of quadratic size.
 
-Nodes that share a bucket are candidates. Pairs are compared by small fingerprints inside
-the tasks; only pairs that may be linked leave them, to be verified exactly.
+Nodes that share a bucket are candidates. Inside the tasks pairs are compared by small
+fingerprints, and those that may be linked exactly, by the nodes' whole contents.
 
 1. Leaders: in each bucket (dealt in blocks of bounded size) a first node is compared with
    all others; those that may be near it are paired with it and set aside; then the next.
-   Again with one node for each verified group and bucket, until that joins nothing more.
-   A bucket full of copies costs about as many comparisons as it has nodes.
+   The pairs are confirmed by a join with the contents. Again with one node for each
+   group and bucket, until that joins nothing more. A bucket full of copies costs about
+   as many comparisons as it has nodes.
 2. The rest: where a bucket still holds several groups, all pairs across groups are
-   compared, the largest group's nodes only with the others'. A round hands out the most
-   similar pairs as spanning forests over the groups, four times as many in each
-   round, until no pair is left that may be linked and has not been verified.
+   compared, block by block, the largest group's nodes only with the others'. Pairs that
+   may be linked are confirmed there, the most similar first, unless links found before
+   join their groups already; only links that join something leave the task.
 
 So the groups are those of all candidate pairs that pass both comparisons.
 """
@@ -20,30 +21,33 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import connected_components, stored
+from fareflow.llm.common import connected_components, map_batches, stored
 
-# Nodes of a block: two of them, with their fingerprints, are what a task holds at a time.
-BLOCK = 512
+# Nodes of a block: two of them, with what they hold, are what a task has at a time.
+BLOCK = 256
 
-# (fingerprints of the left and the right, pairs as two index arrays) -> which may be
-# linked, and their similarity (any scale)
-Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+# (fingerprints, pairs as two index arrays) -> which may be linked, and how similar on any scale
+Compare = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+# (bucket, fingerprints, pairs as two index arrays) -> which are not candidates in an earlier bucket too
+First = Callable[[int, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+# Contents of two nodes -> whether they are linked
+Exact = Callable[[bytes, bytes], bool]
 
-PAIRS = "a long, b long, more boolean"
+PAIRS = "a long, b long"
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
-    """Columns of each run of rows with equal first `keys` columns, from sorted batches; fingerprints as a matrix."""
+    """Columns of each run of rows with equal first `keys` columns, from sorted batches; `print` as a matrix of bytes."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         columns = []
-        for column in batch.columns:
-            if pa.types.is_binary(column.type):
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if name == "print":
                 size = len(column[0].as_py())
                 flat = np.frombuffer(column.buffers()[2], np.uint8, size * len(column), column.offset * size)
                 columns.append(flat.reshape(len(column), size))
@@ -61,31 +65,30 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndar
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
-def _pair_batch(rows: list[tuple]) -> pa.RecordBatch:
-    a, b, more = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], names=["a", "b", "more"])
+def _gathered(rows: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Pairs with the larger node first, in batches."""
+    held: list[tuple[int, int]] = []
 
+    def batch() -> pa.RecordBatch:
+        ends = np.sort(np.array(held, np.int64), axis=1)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 1]), pa.array(ends[:, 0])], names=["a", "b"])
 
-def _gathered(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    held = []
     for row in rows:
         held.append(row)
         if len(held) == 10_000:
-            yield _pair_batch(held)
-            held = []
+            yield batch()
     if held:
-        yield _pair_batch(held)
+        yield batch()
 
 
-def _leaders(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _leaders(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
     for _, _, nodes, prints in _runs(batches, 2):
         left = np.arange(len(nodes))
         while len(left) > 1:
-            first, rest = left[:1], left[1:]
-            near, _ = compare(prints, prints, np.repeat(first, len(rest)), rest)
-            for other in nodes[rest[near]].tolist():
-                pair = sorted((int(nodes[first[0]]), other))
-                yield pair[1], pair[0], False
+            first, rest = left[0], left[1:]
+            near, _ = compare(prints, np.full(len(rest), first), rest)
+            yield from ((nodes[first], other) for other in nodes[rest[near]])
             left = rest[~near]
 
 
@@ -93,40 +96,33 @@ class _Forest:
     def __init__(self) -> None:
         self.parent: dict[int, int] = {}
 
-    def join(self, a: int, b: int) -> bool:
-        """Whether the two were apart."""
-        roots = []
-        for x in (a, b):
-            while (up := self.parent.get(x, x)) != x:
-                self.parent[x] = x = self.parent.get(up, up)
-            roots.append(x)
-        self.parent[max(roots)] = min(roots)
-        return roots[0] != roots[1]
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            self.parent[x] = x = self.parent.get(up, up)
+        return x
 
+    def join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
 
-def _across(compare: Compare, forests: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for _, low, high, block, nodes, groups, prints in _runs(batches, 3):
+
+def _across(compare: Compare, first: First | None, exact: Exact, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
+    for bucket, low, high, block, nodes, groups, prints, contents in _runs(batches, 3):
         left, right = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
         i, j = (x.ravel() for x in np.meshgrid(left, right, indexing="ij"))
         apart = (groups[i] != groups[j]) & ((low[0] != high[0]) | (i < j))
         i, j = i[apart], j[apart]
-        near, score = compare(prints, prints, i, j)
+        if first is not None and len(i):
+            mine = first(int(bucket[0]), prints, i, j)
+            i, j = i[mine], j[mine]
+        near, score = compare(prints, i, j)
         i, j, score = i[near], j[near], score[near]
-        order = np.argsort(-score, kind="stable")
-        waiting = list(zip(i[order].tolist(), j[order].tolist(), strict=True))
-        for _ in range(forests):
-            forest, later = _Forest(), []
-            for x, y in waiting:
-                if forest.join(int(groups[x]), int(groups[y])):
-                    pair = sorted((int(nodes[x]), int(nodes[y])))
-                    yield pair[1], pair[0], False
-                else:
-                    later.append((x, y))
-            waiting = later
-            if not waiting:
-                break
-        if waiting:
-            yield None, None, True
+        forest = _Forest()
+        for at in np.argsort(-score, kind="stable"):
+            x, y = i[at], j[at]
+            if forest.root(groups[x]) != forest.root(groups[y]) and exact(contents[x], contents[y]):
+                forest.join(groups[x], groups[y])
+                yield nodes[x], nodes[y]
 
 
 def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -150,10 +146,21 @@ def _leader_pairs(members: DataFrame, prints: DataFrame, compare: Compare) -> Da
     dealt = heads.join(sizes, "bucket").select("bucket", F.pmod(F.xxhash64("node"), blocks).alias("block"), "node")
     dealt = dealt.join(prints, "node").select("bucket", "block", "node", "print")
     dealt = dealt.repartition("bucket", "block").sortWithinPartitions("bucket", "block", F.xxhash64("node"))
-    return dealt.mapInArrow(lambda batches: _gathered(_leaders(compare, batches)), PAIRS)
+    return dealt.mapInArrow(lambda batches: _gathered(_leaders(compare, batches)), PAIRS).distinct()
+
+
+def _confirmed(pairs: DataFrame, contents: DataFrame, exact: Exact) -> DataFrame:
+    for end in ("a", "b"):
+        pairs = pairs.join(contents.select(F.col("node").alias(end), F.col("content").alias(f"content_{end}")), end)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        linked = [exact(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+        return batch.select(["a", "b"]).filter(pa.array(linked))
 
+    return map_batches(pairs.select("a", "b", "content_a", "content_b"), work, PAIRS)
 
-def _cross_pairs(members: DataFrame, prints: DataFrame, compare: Compare, forests: int) -> DataFrame:
+
+def _cross_links(members: DataFrame, prints: DataFrame, contents: DataFrame, compare: Compare, first: First | None, exact: Exact) -> DataFrame:
     """Every bucket's largest group in blocks from 0, the others' nodes in the blocks after."""
     counts = members.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
     of_bucket = counts.groupBy("bucket").agg(
@@ -161,17 +168,18 @@ def _cross_pairs(members: DataFrame, prints: DataFrame, compare: Compare, forest
     )
     large = F.ceil(F.col("most") / BLOCK)
     small = F.ceil((F.col("total") - F.col("most")) / BLOCK)
-    rows = members.join(of_bucket, "bucket").select("bucket", "node", "group", (F.col("group") == F.col("largest")).alias("main"), large.alias("large"), small.alias("small"))
+    main = (F.col("group") == F.col("largest")).alias("main")
+    rows = members.join(of_bucket, "bucket").select("bucket", "node", "group", main, large.alias("large"), small.alias("small"))
     digest = F.xxhash64("node")
     block = F.when(F.col("main"), F.pmod(digest, "large")).otherwise(F.col("large") + F.pmod(digest, "small"))
-    rows = rows.withColumn("block", block)
-    first = F.when(F.col("main"), F.col("large")).otherwise(F.lit(0))
-    rows = rows.withColumn("other", F.explode(F.sequence(first, F.col("large") + F.col("small") - 1)))
-    rows = rows.join(prints, "node").select(
-        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "group", "print"
-    )
+    begin = F.when(F.col("main"), F.col("large")).otherwise(F.lit(0))
+    other = F.explode(F.sequence(begin, F.col("large") + F.col("small") - 1))
+    rows = rows.withColumn("block", block).withColumn("other", other)
+    rows = rows.join(prints, "node").join(contents, "node")
+    ends = (F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    rows = rows.select("bucket", *ends, "block", "node", "group", "print", "content")
     rows = rows.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "node")
-    return rows.mapInArrow(lambda batches: _gathered(_across(compare, forests, batches)), PAIRS)
+    return rows.mapInArrow(lambda batches: _gathered(_across(compare, first, exact, batches)), PAIRS).distinct()
 
 
 def kept_buckets(buckets: DataFrame, name: str) -> DataFrame:
@@ -183,35 +191,39 @@ def kept_buckets(buckets: DataFrame, name: str) -> DataFrame:
 
 
 def linked_groups(
-    members: DataFrame, prints: DataFrame, compare: Compare, verify: Callable[[DataFrame], DataFrame], name: str
+    members: DataFrame,
+    prints: DataFrame,
+    contents: Callable[[DataFrame], DataFrame],
+    compare: Compare,
+    exact: Exact,
+    name: str,
+    first: First | None = None,
 ) -> DataFrame:
-    """(node, component) of every node with a verified link.
+    """(node, component) of every node with a link.
 
-    `members` (bucket, node) without repeats; `prints` (node, print: bytes of one
-    length); `verify` keeps the pairs (a, b), a > b, that are links.
+    `members` (bucket, node) without repeats; `prints` (node, print: bytes of one length);
+    `contents` gives (node, content: bytes) for at least the nodes of a table (node).
     """
     links: list[DataFrame] = []
     groups = None
 
-    def verified(pairs: DataFrame) -> bool:
+    def joined(new: DataFrame) -> bool:
         nonlocal groups
-        new = stored(verify(pairs.filter(~F.col("more")).select("a", "b").distinct()), f"{name}-links")
+        new = stored(new, f"{name}-links")
         if new.isEmpty():
             return False
         links.append(new)
         groups = connected_components(reduce(DataFrame.unionByName, links), name)
         return True
 
-    while verified(stored(_leader_pairs(_grouped(members, groups), prints, compare), f"{name}-pairs")):
-        pass
-    members = members.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter("n > 2").drop("n")
-    forests = 1
     while True:
-        pairs = stored(_cross_pairs(_divided(_grouped(members, groups)), prints, compare, forests), f"{name}-pairs")
-        verified(pairs)
-        if pairs.filter("more").isEmpty():
+        pairs = stored(_leader_pairs(_grouped(members, groups), prints, compare), f"{name}-pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if not joined(_confirmed(pairs, contents(ends), exact)):
             break
-        forests *= 4
-    if groups is None:
-        groups = members.select("node", F.col("node").alias("component")).limit(0)
-    return groups
+    # A bucket of two has been compared in full.
+    large = members.groupBy("bucket").count().filter("count > 2").select("bucket")
+    rest = stored(_divided(_grouped(members.join(large, "bucket"), groups)), f"{name}-rest")
+    held = contents(rest.select("node").distinct())
+    joined(_cross_links(rest, prints, held, compare, first, exact))
+    return groups if groups is not None else members.select("node", F.col("node").alias("component")).limit(0)

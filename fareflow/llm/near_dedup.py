@@ -8,7 +8,7 @@ Beta(m + 1, n - m + 1), whose upper tail is a binomial sum). What is left is con
 the full sets.
 """
 
-from functools import partial
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import list_column, map_batches, stored, table, text_chunks, words
+from fareflow.llm.common import map_batches, stored, table, text_chunks, words
 from fareflow.llm.links import kept_buckets, linked_groups
 
 WORDS = 5
@@ -38,6 +38,9 @@ _STEP = [np.uint64(x | 1) for x in _rng.integers(0, 2**63, WORDS).tolist()]
 # Shingles hashed at a time, so that one long text needs no more memory than a short one.
 _CHUNK = 2048
 
+# Bits of a bucket's number below its band's.
+_BUCKET_BITS = 58
+
 NODE = "doc_id long, n_shingles long, high long, low long, signature binary"
 
 
@@ -82,31 +85,55 @@ def least_equal(seen: int, miss: float = MISS) -> int:
 _LEAST = {seen: least_equal(seen) for seen in range(LOOK, VALUES + 1, LOOK)}
 
 
-def compare(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def compare(prints: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs of signatures outlast every look, and how many of their values are equal."""
-    left, right = (np.ascontiguousarray(x).view(np.uint32) for x in (left, right))
+    values = np.ascontiguousarray(prints).view(np.uint32)
     equal, near = np.zeros(len(i), np.int64), np.ones(len(i), bool)
     for start in range(0, VALUES, LOOK):
         at = np.flatnonzero(near)
-        for low in range(0, len(at), 1 << 16):
-            rows = at[low : low + (1 << 16)]
+        for low in range(0, len(at), 1 << 14):
+            rows = at[low : low + (1 << 14)]
             span = slice(start, start + LOOK)
-            equal[rows] += np.count_nonzero(left[i[rows], span] == right[j[rows], span], axis=1)
+            equal[rows] += np.count_nonzero(values[i[rows], span] == values[j[rows], span], axis=1)
         near[at] = equal[at] >= _LEAST[start + LOOK]
     return near, equal
 
 
+def first_shared(bucket: int, prints: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs agree in no band before the bucket's."""
+    bands = np.ascontiguousarray(prints).view(np.uint32).reshape(len(prints), BANDS, BAND_VALUES)[:, : bucket >> _BUCKET_BITS]
+    mine = np.ones(len(i), bool)
+    for low in range(0, len(i), 1 << 14):
+        rows = slice(low, low + (1 << 14))
+        mine[rows] = ~(bands[i[rows]] == bands[j[rows]]).all(axis=2).any(axis=1)
+    return mine
+
+
+def similar(left: bytes, right: bytes) -> bool:
+    """Whether two sets, as sorted hashes, are as similar as asked."""
+    a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    least, whole = SIMILARITY
+    if whole * min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    both = int(np.count_nonzero(a[np.minimum(a.searchsorted(b), len(a) - 1)] == b))
+    return whole * both >= least * (len(a) + len(b) - both)
+
+
+def _low(set_bytes: bytes) -> int:
+    digest = xxhash.xxh3_64_intdigest(set_bytes)
+    return digest - (digest >> 63 << 64)
+
+
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
     counts, high, low, signatures = [], [], [], []
     for _, texts in text_chunks(batch.column(1)):
         for text in texts:
             hashes = shingles(text)
             counts.append(len(hashes))
-            digest = xxhash.xxh3_128_intdigest(hashes.tobytes())
-            high.append(digest >> 64)
-            low.append(digest & (2**64 - 1))
+            high.append(xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=1))
+            low.append(_low(hashes.tobytes()))
             signatures.append(signature(hashes).tobytes() if len(hashes) else None)
-    wide = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (high, low)]
+    wide = [pa.array(np.array(high, np.uint64).view(np.int64)), pa.array(low, pa.int64())]
     return pa.RecordBatch.from_arrays(
         [batch.column(0), pa.array(counts, pa.int64()), *wide, pa.array(signatures, pa.binary())],
         names=["doc_id", "n_shingles", "high", "low", "signature"],
@@ -122,32 +149,20 @@ def _banded(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys ^= bands[:, :, at]
         keys *= _FACTOR[at + 1]
         keys ^= keys >> np.uint64(32)
+    keys >>= np.uint64(64 - _BUCKET_BITS)
+    keys |= np.arange(BANDS, dtype=np.uint64) << np.uint64(_BUCKET_BITS)
     nodes = np.repeat(batch.column(0).to_numpy(), BANDS)
     return pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], names=["bucket", "node"])
 
 
-def _set_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets = [shingles(t) for _, texts in text_chunks(batch.column(1)) for t in texts]
-    digests = [xxhash.xxh3_128_intdigest(s.tobytes()) & (2**64 - 1) for s in sets]
-    same = np.array(digests, np.uint64).view(np.int64) == batch.column(2).to_numpy()
-    made = pa.RecordBatch.from_arrays(
-        [batch.column(0), list_column([s.view(np.int64) for s in sets], pa.int64())], names=["node", "shingles"]
-    )
-    return made.filter(pa.array(same))
-
-
-def _confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs whose full sets are as similar as asked."""
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}")), end)
-    both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    least, whole = SIMILARITY
-    return (
-        pairs.select("a", "b", both.alias("both"), (F.size("set_a").cast("long") + F.size("set_b")).alias("sizes"))
-        .filter(whole * F.col("both") >= least * (F.col("sizes") - F.col("both")))
-        .select("a", "b")
-        .distinct()
-    )
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, content) of the texts whose set has the digest in the third column."""
+    for batch in batches:
+        for first, texts in text_chunks(batch.column(1)):
+            sets = [shingles(t).tobytes() for t in texts]
+            same = np.array([_low(s) for s in sets]) == batch.column(2).slice(first, len(texts)).to_numpy()
+            made = [batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "content"]).filter(pa.array(same))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,9 +184,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = kept_buckets(buckets, "near")
     wanted = members.select("node").distinct().join(nodes.select("node", "low"), "node")
     texts = docs.join(wanted, docs.doc_id == wanted.node).select("node", "text", "low")
-    sets = map_batches(texts, _set_batch, "node long, shingles array<long>").dropDuplicates(["node"])
-    sets = stored(sets, "sets")
-    groups = linked_groups(members, prints, compare, partial(_confirmed, sets), "near")
+    sets = stored(texts.mapInArrow(_set_batches, "node long, content binary").dropDuplicates(["node"]), "sets")
+    groups = linked_groups(members, prints, lambda _: sets, compare, similar, "near", first_shared)
     named = nodes.join(groups, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
     found = signed.select("doc_id", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
