@@ -334,7 +334,14 @@ def score_texts(docs: DataFrame, training, key: str = "doc_id", text: str = "tex
     taught = docs.filter(training)
     counts = stored(_counted(taught), "lm-counts")
     sums = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("n")).first()
-    frequent = counts.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()
+    # Words in bins of their count's logarithm, a thousand bins at most: the highest that hold FREQUENT in all.
+    level = F.floor(F.log2("count") * 16)
+    least, room = 0, FREQUENT
+    for r in sorted(counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        least, room = (r.level, room - r.n) if r.n <= room else (r.level + 1, 0)
+        if not room:
+            break
+    frequent = sorted(counts.filter(level >= least).collect(), key=lambda r: (-r["count"], r.word))
     vocabulary = Vocabulary([(bytes(r.word), r["count"]) for r in frequent], sums.total, sums.n)
     for r in _class_sums(counts, vocabulary.own).collect():
         vocabulary.class_total[r.kind], vocabulary.class_distinct[r.kind] = r.total, r.n
