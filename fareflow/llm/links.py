@@ -6,7 +6,7 @@ fingerprints, and those that may be linked exactly, by the nodes' whole contents
 1. Leaders: in each bucket (dealt in blocks of bounded size) a first node is compared with
    all others; those that may be near it are paired with it and set aside; then the next.
    The pairs are confirmed by a join with the contents. Again with one node for each
-   group and bucket, until that joins nothing more. A bucket full of copies costs about
+   group where a bucket has more than a block, until that joins nothing more. A bucket full of copies costs about
    as many comparisons as it has nodes.
 2. The rest: where a bucket still holds several groups, all pairs across groups are
    compared, block by block, the largest group's nodes only with the others'. Pairs that
@@ -138,10 +138,10 @@ def _divided(members: DataFrame) -> DataFrame:
     return members.join(mixed.filter("low <> high").select("bucket"), "bucket")
 
 
-def _leader_pairs(members: DataFrame, prints: DataFrame, compare: Compare) -> DataFrame:
-    """One node for each bucket and group, dealt in blocks."""
+def _leader_pairs(members: DataFrame, prints: DataFrame, compare: Compare, above: int) -> DataFrame:
+    """One node for each bucket and group, dealt in blocks, where a bucket has more than `above` groups."""
     heads = members.groupBy("bucket", "group").agg(F.min("node").alias("node"))
-    sizes = heads.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = heads.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > above)
     blocks = F.ceil(F.col("n") / BLOCK)
     dealt = heads.join(sizes, "bucket").select("bucket", F.pmod(F.xxhash64("node"), blocks).alias("block"), "node")
     dealt = dealt.join(prints, "node").select("bucket", "block", "node", "print")
@@ -193,7 +193,7 @@ def kept_buckets(buckets: DataFrame, name: str) -> DataFrame:
 def linked_groups(
     members: DataFrame,
     prints: DataFrame,
-    contents: Callable[[DataFrame], DataFrame],
+    contents: DataFrame,
     compare: Compare,
     exact: Exact,
     name: str,
@@ -202,7 +202,7 @@ def linked_groups(
     """(node, component) of every node with a link.
 
     `members` (bucket, node) without repeats; `prints` (node, print: bytes of one length);
-    `contents` gives (node, content: bytes) for at least the nodes of a table (node).
+    `contents` (node, content: bytes) has at least the members.
     """
     links: list[DataFrame] = []
     groups = None
@@ -216,14 +216,14 @@ def linked_groups(
         groups = connected_components(reduce(DataFrame.unionByName, links), name)
         return True
 
+    above = 1
     while True:
-        pairs = stored(_leader_pairs(_grouped(members, groups), prints, compare), f"{name}-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if not joined(_confirmed(pairs, contents(ends), exact)):
+        pairs = stored(_leader_pairs(_grouped(members, groups), prints, compare, above), f"{name}-pairs")
+        above = BLOCK
+        if not joined(_confirmed(pairs, contents, exact)):
             break
     # A bucket of two has been compared in full.
     large = members.groupBy("bucket").count().filter("count > 2").select("bucket")
     rest = stored(_divided(_grouped(members.join(large, "bucket"), groups)), f"{name}-rest")
-    held = contents(rest.select("node").distinct())
-    joined(_cross_links(rest, prints, held, compare, first, exact))
+    joined(_cross_links(rest, prints, contents, compare, first, exact))
     return groups if groups is not None else members.select("node", F.col("node").alias("component")).limit(0)

@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     wanted = members.select("node").distinct().join(nodes.select("node", "low"), "node")
     texts = docs.join(wanted, docs.doc_id == wanted.node).select("node", "text", "low")
     sets = stored(texts.mapInArrow(_set_batches, "node long, content binary").dropDuplicates(["node"]), "sets")
-    groups = linked_groups(members, prints, lambda _: sets, compare, similar, "near", first_shared)
+    groups = linked_groups(members, prints, sets, compare, similar, "near", first_shared)
     named = nodes.join(groups, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
     found = signed.select("doc_id", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
