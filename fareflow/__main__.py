@@ -83,7 +83,10 @@ def results(spark: SparkSession, args: argparse.Namespace) -> None:
 def analyse(spark: SparkSession, args: argparse.Namespace) -> None:
     by_config, totals = analyse_runs(read_run_log(spark, args.log), args.record)
     _print_row(totals)
-    by_config.orderBy("config").show(1000, truncate=False)
+    rows = by_config.orderBy("config")
+    print("  ".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("  ".join(str(value) for value in row))
 
 
 def intake(spark: SparkSession, args: argparse.Namespace) -> None:

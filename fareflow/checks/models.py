@@ -27,15 +27,12 @@ from fareflow.sources import storage
 from fareflow.sources.tables import read_predictions, read_predictions_by_run
 from fareflow.streaming.intake import arriving_trips, landed_runs, start_intake
 
-# Boosting rounds here; the library's default is the published model's number.
-ROUNDS = 5
-
 
 @cache
 def _saved_model(application: str, spark: SparkSession, sf_dir: str) -> str:
     """Path of a model fitted once per application and table folder."""
     path = scratch_path(spark, "model")
-    train_on_cleaned(cleaned_round_trip(spark, sf_dir), path, max_iter=ROUNDS)
+    train_on_cleaned(cleaned_round_trip(spark, sf_dir), path)
     return path
 
 
@@ -44,7 +41,7 @@ def saved_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 
 def gbt_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, metrics = train_on_cleaned(cleaned_round_trip(spark, sf_dir), max_iter=ROUNDS)
+    _, metrics = train_on_cleaned(cleaned_round_trip(spark, sf_dir))
     return metrics
 
 
@@ -62,7 +59,7 @@ def gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out quality of fitted trees: learned, better than the mean fare, and as MLlib's evaluator has it."""
     trips = clean_trips(V.event_trips(spark, sf_dir), labelled=True, keep=["trip_id"])
     train, test = hash_split(trips, bucket=portable_bucket())
-    scored = predict(fit_fares(train, max_iter=ROUNDS), test)
+    scored = predict(fit_fares(train), test)
     metrics = regression_metrics(scored)
     agreement = []
     for name in ("rmse", "r2", "mae"):
@@ -80,7 +77,7 @@ def gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows on which a model and its stored copy agree: all of them."""
     cleaned = clean_labelled(spark, sf_dir)
-    fitted = fit_fares(cleaned, max_iter=2)
+    fitted = fit_fares(cleaned)
     path = scratch_path(spark, "model")
     save_model(fitted, path)
     once = predict(fitted, cleaned).withColumnRenamed(S.PREDICTION, "fitted")
@@ -90,6 +87,14 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gbt_same_model_any_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips on which models fitted from three and from seven partitions differ: none."""
+    cleaned = clean_labelled(spark, sf_dir)
+    few, many = (fit_fares(cleaned.repartition(n)) for n in (3, 7))
+    both = predict(many, predict(few, cleaned).withColumnRenamed(S.PREDICTION, "few"))
+    return both.agg(F.count(F.lit(1)).alias("trips"), F.count_if(F.col(S.PREDICTION) != F.col("few")).alias("differing"))
+
+
 def _scored_flag(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn(S.PREDICTION, F.col(S.PREDICTION).isNotNull())
 
@@ -181,6 +186,7 @@ QUERIES = {
     "gbt_predict": gbt_predict,
     "gbt_quality": gbt_quality,
     "model_round_trip": model_round_trip,
+    "gbt_same_model_any_layout": gbt_same_model_any_layout,
     "score_one_file": score_one_file,
     "score_files": score_many_files,
     "score_months": score_months,
@@ -204,6 +210,7 @@ ORACLES = {
 FROM ({V.cleaned_sql(extra=", trip_id")}) AS cleaned WHERE (trip_id * 7919 + 104729) % 100 >= 80""",
     "stream_batch_agreement": f"""SELECT count(*) AS streamed, CAST(0 AS BIGINT) AS differing
 FROM ({V.cleaned_sql(_MONTHS_SQL, labelled=False)}) AS cleaned""",
+    "gbt_same_model_any_layout": f"SELECT count(*) AS trips, CAST(0 AS BIGINT) AS differing FROM ({V.cleaned_sql()}) AS cleaned",
     "model_round_trip": f'SELECT count(*) AS trips, count(*) AS "equal" FROM ({V.cleaned_sql()}) AS cleaned',
     "score_one_file": _FLAGGED_SQL,
     "score_files": f"""SELECT concat('kind=', event_type, '.parquet') AS input,

@@ -84,7 +84,7 @@ def result_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_export_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same export when the result is over the single-file size."""
     root = _whole_run(spark, sf_dir)
-    export_predictions(spark, root, WHOLE, f"{root}/export", single_file_bytes=0)
+    export_predictions(spark, root, WHOLE, f"{root}/export", single_file=False)
     return read_predictions(spark, f"{root}/export/{WHOLE}_results.csv")
 
 

@@ -13,12 +13,12 @@ def base_name(path: Column) -> Column:
 
 
 def run_name(stamp: Column, *key: Column) -> Column:
-    """`query_<yyyymmdd_HHMMSS>_<8 hex>`, the hex part a digest of `key`.
+    """`query_<yyyymmdd_HHMMSS>_<16 hex>`, the hex part a 64-bit digest of `key`.
 
-    It is evaluated for every row of a file, hence the cheap digest.
+    It is evaluated for every row of a file, hence the cheap digest. Among a million
+    inputs two share one with a chance of one in 37 million.
     """
-    low_bits = F.xxhash64(*key).bitwiseAND(F.lit(0xFFFFFFFF))
-    digits = F.lpad(F.lower(F.hex(low_bits)), 8, "0")
+    digits = F.lpad(F.lower(F.hex(F.xxhash64(*key))), 16, "0")
     return F.concat(F.lit("query_"), stamp, F.lit("_"), digits)
 
 
@@ -26,19 +26,17 @@ class RunNames:
     """Run names for the inputs of one submission.
 
     The digest covers the input's address and a random salt, so an executor derives
-    the name for the file it is reading without a lookup table. The salt is drawn
-    again in the rare case that two inputs would share a name.
+    the name for the file it is reading without a lookup table.
     """
 
     def __init__(self, spark: SparkSession, uris: Sequence[str]):
         self._stamp = datetime.now(UTC).strftime("%Y%m%d_%H%M%S")
+        self._salt = secrets.randbits(62)
         inputs = spark.createDataFrame([(u,) for u in uris], "uri string")
-        names: dict[str, str] = {}
-        while len(set(names.values())) < len(set(uris)):
-            self._salt = secrets.randbits(62)
-            named = inputs.select("uri", self.column(F.col("uri")).alias("name"))
-            names = {row.uri: row.name for row in named.collect()}
-        self._names = names
+        named = inputs.select("uri", self.column(F.col("uri")).alias("name"))
+        self._names = {row.uri: row.name for row in named.toLocalIterator()}
+        if len(set(self._names.values())) < len(self._names):
+            raise RuntimeError("two inputs have the same name; submit again")
 
     def of(self, uri: str) -> str:
         return self._names[uri]

@@ -18,7 +18,8 @@ def fixed_text(value: Column, digits: int) -> Column:
 
 def round_exact(value: Column, digits: int) -> Column:
     """Nearest `digits`-decimal number to the exact binary value."""
-    return fixed_text(value, digits).cast("double")
+    finite = ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    return F.coalesce(F.when(finite, fixed_text(value, digits)).cast("double"), value)
 
 
 def right_align(text: Column, width: int) -> Column:

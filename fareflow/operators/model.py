@@ -1,11 +1,10 @@
 """The fare model: seven numeric features into gradient-boosted trees."""
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fareflow import schemas as S
 from fareflow.session import ensure_checkpoint_dir
@@ -15,10 +14,10 @@ MAX_ITER = 50
 MAX_DEPTH = 5
 SEED = 42
 
-# Binned rows a task keeps at hand, about 400 MB of them; what does not fit spills.
-ROWS_PER_PARTITION = 2_000_000
-# Below this a task costs more to start than to run.
-MIN_ROWS_PER_PARTITION = 20_000
+# Training tasks. MLlib samples its split candidates by partition, so a model depends on this
+# number; it never follows the rows or the cores. A large table deserves more.
+PARTITIONS = 32
+COPIES = "copies"
 # Rounds between lineage cuts, so a lost executor replays a few rounds, not all.
 CHECKPOINT_ROUNDS = 10
 
@@ -42,27 +41,17 @@ def fare_model(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int =
     )
 
 
-def _even_partitions(rows: int, cores: int) -> int:
-    """Whole waves of tasks, so that no core idles at the end of a pass; few tasks for few rows."""
-    if rows <= MIN_ROWS_PER_PARTITION * cores:
-        return max(1, math.ceil(rows / MIN_ROWS_PER_PARTITION))
-    return cores * math.ceil(rows / (ROWS_PER_PARTITION * cores))
-
-
-def fit_fares(train: DataFrame, partitions: int | None = None, **params) -> PipelineModel:
-    """Fits on rows dealt evenly over tasks.
+def fit_fares(train: DataFrame, partitions: int = PARTITIONS, **params) -> PipelineModel:
+    """Fits on the distinct rows, each weighted by its copies.
 
-    Boosting passes over its rows once per tree level and round, and each pass lasts
-    as long as its largest partition. One shuffle of eight narrow columns removes
-    the unevenness of file splits; dealing by row, not by key, keeps copies apart.
-    Without `partitions` the rows are counted first, one scan against hundreds.
+    Rows are dealt by a hash and sorted in their partition: the model depends on the
+    rows and `partitions` alone, not on files, cores or the cluster. Copies are
+    counted before the shuffle, so a row that repeats often fills no partition.
     """
-    context = train.sparkSession.sparkContext
     ensure_checkpoint_dir(train.sparkSession)
-    rows = train.select(*S.CLEANED_COLUMNS)
-    if partitions is None:
-        partitions = _even_partitions(rows.count(), context.defaultParallelism)
-    return fare_model(**params).fit(rows.repartition(partitions))
+    rows = train.groupBy(*S.CLEANED_COLUMNS).agg(F.count(F.lit(1)).cast("double").alias(COPIES))
+    rows = rows.repartition(partitions, *S.CLEANED_COLUMNS).sortWithinPartitions(*S.CLEANED_COLUMNS)
+    return fare_model(weightCol=COPIES, **params).fit(rows)
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

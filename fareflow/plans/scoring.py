@@ -52,16 +52,6 @@ def score_path(spark: SparkSession, model: PipelineModel, path: str, out: str, f
     write_predictions(predict(model, cleaned), out, format)
 
 
-def _write_one(
-    spark: SparkSession, model: PipelineModel, groups: dict[Layout, list[str]], out: str, format: str
-) -> None:
-    """One input's rows need neither a name of their own nor a sort by it."""
-    ((layout, paths),) = groups.items()
-    cleaned = clean_trips(scan(spark, layout, paths), labelled=False)
-    if not cleaned.isEmpty():
-        write_predictions(predict(model, cleaned), out, format)
-
-
 def _write_many(
     spark: SparkSession,
     model: PipelineModel,
@@ -94,7 +84,9 @@ def score_files(
 
     A missing path or unknown suffix is refused before anything runs. A path that
     cannot be read, lacks a column or has no valid row is logged as failed and
-    does not hold up the others. Returns the logged rows.
+    does not hold up the others. A logged duration is the run's even share of the
+    submission's time, so that rates over the log are those of the work done. Returns
+    the logged rows.
     """
     check_inputs(spark, paths)
     uris = {storage.uri(spark, p): p for p in paths}
@@ -104,7 +96,7 @@ def score_files(
     clock = time.monotonic()
 
     def write_log(succeeded: set[str]) -> DataFrame:
-        seconds = time.monotonic() - clock
+        seconds = (time.monotonic() - clock) / max(1, len(uris))
         finished = datetime.now(UTC)
         rows = [(finished, names.of(u), p, seconds, u in succeeded, config) for u, p in uris.items()]
         logged = log_rows(spark.createDataFrame(rows, _RUN_SCHEMA))
@@ -113,11 +105,8 @@ def score_files(
 
     unreadable: dict[str, UnreadableTrips] = {}
     groups = group_layouts(spark, paths, labelled=False, on_unreadable=unreadable.__setitem__)
-    readable = [path for members in groups.values() for path in members]
     try:
-        if len(readable) == 1:
-            _write_one(spark, model, groups, f"{root}/query_id={names.of(storage.uri(spark, readable[0]))}", format)
-        elif readable:
+        if groups:
             _write_many(spark, model, groups, names, root, format)
     except Exception:
         write_log(set())

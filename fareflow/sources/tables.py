@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 from fareflow import schemas as S
 from fareflow.sources import storage
 
-# Above this stored size an export keeps several part files instead of one.
-SINGLE_FILE_BYTES = 1 << 30
-
 
 def write_cleaned(df: DataFrame, path: str, by_month: bool = False) -> None:
     """Overwrites the cleaned table.
@@ -84,9 +81,9 @@ def write_record(record: DataFrame, path: str) -> None:
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:
-    """Adds one submission's rows, in a folder of its own so that submissions may run side by side."""
+    """Adds one submission's rows, one file in a folder of its own so that submissions may run side by side."""
     folder = f"{path}/submission-{uuid.uuid4().hex}"
-    rows.select(*S.RUN_LOG.fieldNames()).write.option("header", "true").csv(folder)
+    rows.select(*S.RUN_LOG.fieldNames()).coalesce(1).write.option("header", "true").csv(folder)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
@@ -94,28 +91,22 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return _csv_reader(spark, S.RUN_LOG).option("recursiveFileLookup", "true").csv(path)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a table's part files, from the listing alone."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
 def export_predictions(
     spark: SparkSession,
     root: str,
     query_id: str,
     target: str,
     format: str = "csv",
-    single_file_bytes: int = SINGLE_FILE_BYTES,
+    single_file: bool = True,
 ) -> None:
     """Writes `<target>/<query_id>_results.csv`.
 
-    A result above `single_file_bytes` becomes a folder of parts of that name, so no
-    single task has to write it all; every row is exported either way.
+    Without `single_file` it is a folder of parts of that name, so that no single task
+    has to write it all; the size of the result has no say.
     """
     stored, out = f"{root}/query_id={query_id}", f"{target}/{query_id}_results.csv"
     result = read_predictions(spark, stored, format)
-    if stored_bytes(spark, stored) > single_file_bytes:
+    if not single_file:
         write_predictions(result, out)
     else:
         write_predictions(result.coalesce(1), f"{out}.part")

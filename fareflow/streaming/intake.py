@@ -15,7 +15,7 @@ from fareflow import schemas as S
 from fareflow.functions.naming import run_name
 from fareflow.operators.features import clean_trips
 from fareflow.operators.model import predict
-from fareflow.session import scratch_path
+from fareflow.sources import storage
 
 
 def _run_of_file() -> Column:
@@ -58,7 +58,7 @@ def start_intake(
     model: PipelineModel,
     trips: DataFrame,
     root: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     format: str = "parquet",
     once: bool = True,
     interval: str = "1 minute",
@@ -66,9 +66,12 @@ def start_intake(
     """Starts scoring `trips` into `root`, a folder per `query_id`.
 
     `once` drains what has landed and stops; otherwise batches start every `interval`.
-    `root` belongs to this stream alone: batch runs write elsewhere.
+    `root` belongs to this stream alone: batch runs write elsewhere. A new checkpoint
+    with the sink log of another stream is refused, for the sink would skip its batches.
     """
-    checkpoint = checkpoint or scratch_path(trips.sparkSession, "intake")
+    spark = trips.sparkSession
+    if storage.exists(spark, f"{root}/_spark_metadata") and not storage.exists(spark, f"{checkpoint}/commits"):
+        raise ValueError(f"{root} belongs to a stream with another checkpoint")
     scored = predict(model, clean_trips(trips, labelled=False, keep=["query_id"]))
     writer = (
         scored.select(*S.PREDICTION_COLUMNS, "query_id")

@@ -6,7 +6,7 @@ from fareflow import schemas as S
 from fareflow.operators.results import preview, read_result_text, result_catalogue, rows_per_run, stored_runs
 from fareflow.sources.tables import read_predictions_by_run, write_predictions_by_run
 
-ROWS = [(2.5, 132, 138, 1.0, 12.519003171322401), (0.15, 161, 234, 2.0, 21.916574629912244), (1234567.25, 1, 2, 6.0, 8.005)]
+ROWS = [(3.7, 41, 66, 1.0, 14.625001953125), (0.35, 12, 88, 2.0, 7.334999990000001), (1234567.25, 1, 2, 6.0, 8.005)]
 
 
 @pytest.mark.parametrize("format", ["csv", "parquet"])

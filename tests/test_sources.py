@@ -56,32 +56,32 @@ def _values(df):
 
 def test_csv_is_bound_by_name_in_each_file(spark, tmp_path):
     paths = [
-        _csv(tmp_path, "a.csv", HEADER, "2.5,132,138,1,2022-06-15 08:30:00"),
+        _csv(tmp_path, "a.csv", HEADER, "3.7,41,66,1,2022-03-08 06:20:00"),
         _csv(tmp_path, "b.csv", "passenger_count,DOLocationID,PULocationID,trip_distance,tpep_pickup_datetime",
-             "2,234,161,5.1,2022-06-15 17:45:00"),
-        _csv(tmp_path, "c.csv", HEADER.lower(), "1.2,79,107,3,2022-06-15 12:00:00"),
-        _csv(tmp_path, "d.csv", "," + HEADER + ",note,note", "0,8.3,138,1,4,2022-06-15 22:15:00,p,q"),
+             "2,88,12,6.4,2022-03-08 21:10:00"),
+        _csv(tmp_path, "c.csv", HEADER.lower(), "0.8,5,9,3,2022-03-08 13:40:00"),
+        _csv(tmp_path, "d.csv", "," + HEADER + ",note,note", "0,9.9,70,2,4,2022-03-08 23:05:00,p,q"),
     ]
     assert _values(read_clean_trips(spark, paths, labelled=False)) == [
-        (1.2, 79, 107, 3.0), (2.5, 132, 138, 1.0), (5.1, 161, 234, 2.0), (8.3, 138, 1, 4.0)
+        (0.8, 5, 9, 3.0), (3.7, 41, 66, 1.0), (6.4, 12, 88, 2.0), (9.9, 70, 2, 4.0)
     ]
 
 
 def test_csv_rows_that_cannot_be_read_are_dropped(spark, tmp_path):
     path = _csv(
         tmp_path, "t.csv", HEADER,
-        "2.5,132.0,138,1,2022-06-15 08:30:00", "abc,132,138,1,2022-06-15 08:30:00", "2.5,132,138,1,notadate",
-        "2.5,,138,1,2022-06-15 08:30:00", "2.5,132", ",,,,", "2.5,132,138,7,2022-06-15 08:30:00",
+        "3.7,41.0,66,1,2022-03-08 06:20:00", "abc,41,66,1,2022-03-08 06:20:00", "3.7,41,66,1,notadate",
+        "3.7,,66,1,2022-03-08 06:20:00", "3.7,41", ",,,,", "3.7,41,66,7,2022-03-08 06:20:00",
     )
-    assert _values(read_clean_trips(spark, [path], labelled=False)) == [(2.5, 132, 138, 1.0)]
+    assert _values(read_clean_trips(spark, [path], labelled=False)) == [(3.7, 41, 66, 1.0)]
 
 
 def test_csv_directory_with_two_headers_is_refused_not_swapped(spark, tmp_path):
     folder = tmp_path / "trips.csv"
     folder.mkdir()
-    _csv(folder, "part-0.csv", HEADER, "2.5,132,138,1,2022-06-15 08:30:00")
+    _csv(folder, "part-0.csv", HEADER, "3.7,41,66,1,2022-03-08 06:20:00")
     _csv(folder, "part-1.csv", "DOLocationID,PULocationID,trip_distance,passenger_count,tpep_pickup_datetime",
-         "234,161,5.1,2,2022-06-15 17:45:00")
+         "88,12,6.4,2,2022-03-08 21:10:00")
     with pytest.raises(Exception, match="(?i)header"):
         read_clean_trips(spark, [str(folder)], labelled=False).collect()
 
@@ -180,7 +180,7 @@ def test_export_one_file_or_parts(spark, tmp_path):
     root = str(tmp_path / "out")
     write_predictions(rows, f"{root}/query_id=query_x")
     export_predictions(spark, root, "query_x", str(tmp_path / "one"))
-    export_predictions(spark, root, "query_x", str(tmp_path / "many"), single_file_bytes=10)
+    export_predictions(spark, root, "query_x", str(tmp_path / "many"), single_file=False)
     export_predictions(spark, root, "query_x", str(tmp_path / "one"))
     for target in ("one", "many"):
         exported = read_predictions(spark, str(tmp_path / target / "query_x_results.csv"))
