@@ -13,12 +13,11 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import blocks_for, stored, table
+from fareflow.llm.common import blocks_for, map_batches, stored, table
 
 # Vectors in a tile of candidates and of queries.
 TILE = 4096
@@ -106,16 +105,16 @@ def _nearest(queries: _Tile, others: _Tile, k: int) -> Iterator[tuple[int, list[
             yield int(queries.ids[low + at]), [{"down": d, "vec_id": v} for d, v in found]
 
 
-def _merger(k: int):
-    @F.pandas_udf(NEAR)
-    def merged(lists: pd.Series) -> pd.Series:
-        def one(parts: list) -> list[dict]:
-            ranked = heapq.merge(*[[(x["down"], x["vec_id"]) for x in part] for part in parts])
-            return [{"down": d, "vec_id": v} for d, v in islice(ranked, k)]
+_LIST = pa.list_(pa.struct([("down", pa.float64()), ("vec_id", pa.int64())]))
 
-        return lists.map(one)
 
-    return merged
+def _merged(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
+    """The k first of each query's ranked lists."""
+    rows = []
+    for lists in batch.column(1):
+        ranked = heapq.merge(*[[(x["down"], x["vec_id"]) for x in part] for part in lists.as_py()])
+        rows.append([{"down": d, "vec_id": v} for d, v in islice(ranked, k)])
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, _LIST)], names=["query_id", "near"])
 
 
 def nearest(
@@ -148,12 +147,12 @@ def nearest(
                 row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
                 found = list(_nearest(_Tile(row, "q"), _Tile(row, "c"), k))
                 if found:
-                    struct = pa.list_(pa.struct([("down", pa.float64()), ("vec_id", pa.int64())]))
                     ids, near = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(near, struct)], names=["query_id", "near"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(near, _LIST)], names=["query_id", "near"])
 
     lists = left.join(right, ["q", "c", "dim"]).mapInArrow(products, f"query_id long, near {NEAR}")
-    merged = lists.groupBy("query_id").agg(F.collect_list("near").alias("lists")).select("query_id", _merger(k)("lists").alias("near"))
+    gathered = lists.groupBy("query_id").agg(F.collect_list("near").alias("lists"))
+    merged = map_batches(gathered, lambda batch: _merged(batch, k), f"query_id long, near {NEAR}")
     ranked = merged.select("query_id", F.posexplode("near").alias("at", "n"))
     return ranked.select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("n.vec_id").alias("vec_id"), (-F.col("n.down")).alias("score")
