@@ -2,7 +2,7 @@
 
 import math
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from fareflow.session import scratch_path
 
+# Bits of a sieve: 8 MB, whatever it is made from.
+SIEVE_BITS = 1 << 26
+# Fixed value: bits of one bitmap that bitmap_construct_agg makes.
+BITMAP = 32_768
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +53,22 @@ def map_batches(df: DataFrame, work: Callable, schema: str, given: Callable[[],
     return df.mapInArrow(run, schema)
 
 
+def marked(rows: DataFrame, columns: Sequence[str], wanted: DataFrame, name: str) -> DataFrame:
+    """`rows` and `maybe`: false only where no row of `wanted` agrees in `columns`, nulls being equal.
+
+    What is broadcast is a bitmap of the wanted rows' hashes, of SIEVE_BITS at most. The more
+    rows are wanted, the more others are marked too; so a join with `wanted` must follow.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(SIEVE_BITS))
+    part, at = F.floor(place / BITMAP).alias("part"), (place % BITMAP).alias("at")
+    bitmaps = wanted.select(part, at).repartition("part").groupBy("part").agg(F.expr("bitmap_construct_agg(at)").alias("bitmap"))
+    bitmaps = F.broadcast(stored(bitmaps, f"{name}-sieve"))
+    joined = rows.withColumns({"part": part, "at": at}).join(bitmaps, "part", "left")
+    byte = F.substr("bitmap", (F.floor(F.col("at") / 8) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("at") % 8).cast("int"))
+    return joined.withColumn("maybe", F.coalesce(bit == 1, F.lit(False))).drop("part", "at", "bitmap")
+
+
 def words(text: str | None) -> list[bytes]:
     """Runs other than space and U+0009 to U+000D, A-Z lower-cased: what `bytes` means by both."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
