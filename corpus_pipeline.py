@@ -25,9 +25,8 @@ LEAST_SCORE = 0.4
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without texts that are null, have no letter or read as none of the languages."""
     network = fit_languages(docs.filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
-    found = identify(rows, network, key="row")
-    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    found = identify(docs, network, keep=COLUMNS)
+    return found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def by_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ whole. Prediction is map-only.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
 import numpy as np
@@ -244,29 +244,35 @@ def fit_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang
     return Network(languages).fit(encoded, [languages.index(name) for name, _ in rows])
 
 
-def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score) for each row of `docs`.
+def identify(
+    docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(key, columns to keep, lang_pred, score) for each row of `docs`.
 
     `score` is the mean probability of the predicted language over all positions. A
     text that is null or without a letter is `und` with score 0, as is every text if there
     is no network; of equally probable languages the first by name wins. Null and
-    repeated keys pass through; other columns play no part.
+    repeated keys pass through; columns not to keep play no part. None to keep may be
+    named lang_pred or score.
     """
-    docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = docs.schema["key"].dataType.simpleString()
+    sent_names, kept = list(dict.fromkeys([key, *keep, text])), list(dict.fromkeys([key, *keep]))
+    docs = docs.select(*[F.col(c).cast("string").alias(c) if c == text else F.col(c) for c in sent_names])
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
+    place = sent_names.index(text)
 
     def work(batch: pa.RecordBatch, model: Network | None) -> pa.RecordBatch:
         names, scores = [], []
-        for _, texts in text_chunks(batch.column(1), 4_000_000):
+        for _, texts in text_chunks(batch.column(place), 4_000_000):
             pooled = None if model is None else model.pooled([t.encode("utf-8", "replace") for t in texts])
             for at, t in enumerate(texts):
                 known = model is not None and has_letter(t)
                 names.append(model.languages[int(pooled[at].argmax())] if known else UNDETERMINED)
                 scores.append(min(1.0, float(pooled[at].max())) if known else 0.0)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores)], names=["key", "lang_pred", "score"])
+        columns = [*batch.columns[: len(kept)], pa.array(names), pa.array(scores)]
+        return pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score"])
 
-    found = map_batches(docs, work, f"key {kind}, lang_pred string, score double", sent(docs.sparkSession, network))
-    return found.withColumnRenamed("key", key)
+    schema = ", ".join([*kinds, "lang_pred string, score double"])
+    return map_batches(docs, work, schema, sent(docs.sparkSession, network))
 
 
 HELD_OUT, FOLDS = 1, 3
