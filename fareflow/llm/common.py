@@ -1,5 +1,6 @@
 """Helpers that several text operators share."""
 
+import ctypes
 import math
 import pickle
 from collections.abc import Callable, Iterator, Sequence
@@ -41,6 +42,13 @@ def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(shared.value)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system; else a reused worker holds it through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable, schema: str, given: Callable[[], Any] | None = None) -> DataFrame:
     """One output batch, or None, from `work` for each Arrow batch of `df`; what was `given` is its second argument."""
 
@@ -49,6 +57,9 @@ def map_batches(df: DataFrame, work: Callable, schema: str, given: Callable[[],
         for batch in batches:
             if batch.num_rows and (made := work(batch, *more)) is not None and made.num_rows:
                 yield made
+        batch = made = None
+        more.clear()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -22,14 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import table, text_chunks
+from fareflow.llm.common import give_back, table, text_chunks
 
 SEQUENCE = 2048
 END_ID = 1
 # Windows a task holds open at most; 8 kB each.
 MAX_OPEN = 4096
-# Words whose ids a task keeps; about 200 bytes each.
-CACHED_WORDS = 500_000
+# Words whose ids a task keeps, in each of two tables; about 200 bytes each.
+CACHED_WORDS = 100_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -232,6 +232,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
         rows += packer.end()
         if rows:
             yield batch_of(rows)
+        batch = texts = rows = packer = word_ids = None
+        give_back()
 
     return docs.mapInArrow(run, PIECES)
 
