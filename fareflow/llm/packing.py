@@ -28,8 +28,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Windows a task holds open at most; 8 kB each.
 MAX_OPEN = 4096
-# Words whose ids a task keeps, in each of two tables; about 200 bytes each.
-CACHED_WORDS = 100_000
+# Words whose ids a task has met of late, in each of two tables, and as many of the time before; about 200 bytes each.
+CACHED_WORDS = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -49,6 +49,9 @@ _TRAILING = string.punctuation.replace("'", "")
 class WordIds:
     """Token ids of texts as little-endian bytes; those of words are kept as they are met.
 
+    A full table becomes the older one, from which words that come again are taken back, so
+    frequent words stay.
+
     The tokenizer never joins text across a blank. It splits a word of letters from the
     punctuation after it and lower-cases it, so for such words, in the scripts below
     U+0250 and composed, its model is asked for the letters alone; any other goes through all of it.
@@ -59,25 +62,36 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._words = {"": b""}
+        self._older: dict[str, bytes] = {}
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._stems: dict[str, bytes] = {}
+        self._older_stems: dict[str, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _stem(self, stem: str) -> bytes:
         if (known := self._stems.get(stem)) is None:
-            spelled = stem if stem.isascii() else "".join([ALPHABET[b] for b in stem.encode()])
-            known = self._packed([token.id for token in self._model.tokenize(spelled)])
+            if (known := self._older_stems.get(stem)) is None:
+                spelled = stem if stem.isascii() else "".join([ALPHABET[b] for b in stem.encode()])
+                known = self._packed([token.id for token in self._model.tokenize(spelled)])
             if len(self._stems) >= CACHED_WORDS:
-                self._stems.clear()
+                self._older_stems, self._stems = self._stems, {}
             self._stems[stem] = known
         return known
 
     def _new(self, word: str) -> bytes:
         if (ids := self._words.get(word)) is not None:
             return ids
+        if (ids := self._older.get(word)) is None:
+            ids = self._met(word)
+        if len(self._words) >= CACHED_WORDS:
+            self._older, self._words = self._words, {"": b""}
+        self._words[word] = ids
+        return ids
+
+    def _met(self, word: str) -> bytes:
         stem = word.rstrip(_TRAILING)
         low = stem.lower()
         if low.isalpha() and (low.isascii() and stem.isascii() or max(stem) < "\u0250" and is_normalized("NFC", stem)):
@@ -86,10 +100,6 @@ class WordIds:
                 ids += self._new(word[len(stem) :])
         else:
             ids = self._packed(self._tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(self._words) >= CACHED_WORDS:
-            self._words.clear()
-            self._words[""] = b""
-        self._words[word] = ids
         return ids
 
     def of(self, text: str) -> bytes:
