@@ -49,24 +49,35 @@ def evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def predict(spark: SparkSession, args: argparse.Namespace) -> None:
-    score_path(spark, load_model(args.model), args.input, args.output, args.format)
+    scored = score_path(spark, load_model(args.model), args.input, args.output, args.format)
+    print(f"scored {scored} trips")
+
+
+def _expanded(spark: SparkSession, inputs: Sequence[str]) -> list[str]:
+    """Each path once, globs as the paths they match; a glob without a match is refused as a missing path."""
+    found = [path if storage.exists(spark, path) else storage.expand(spark, path) or path for path in inputs]
+    return list(dict.fromkeys(p for paths in found for p in ([paths] if isinstance(paths, str) else paths)))
 
 
 def submit(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = score_files(
-        spark, load_model(args.model), args.input, args.results, args.log, args.config_label, args.format
+        spark, load_model(args.model), _expanded(spark, args.input), args.results, args.log, args.config_label, args.format
     ).toLocalIterator()
-    outcomes = []
+    failed = 0
     for row in rows:
-        outcomes.append(row.success)
+        failed += not row.success
         print(f"{row.query_id}  {row.input}  {'complete' if row.success else 'failed'}  {row.duration_seconds} s")
-    if not all(outcomes):
+    if failed:
         sys.exit(1)
 
 
 def results(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.list:
-        catalogue = result_catalogue(read_run_log(spark, args.log), stored_runs(spark, args.results))
+        stored = stored_runs(spark, args.results)
+        submitted = stored
+        if args.log:
+            submitted = submitted.select("query_id").unionByName(read_run_log(spark, args.log).select("query_id"))
+        catalogue = result_catalogue(submitted, stored)
         for row in catalogue.toLocalIterator():
             print(f"{row.query_id:<50} {row.status}")
         return
@@ -142,7 +153,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job(submit, "score files, each under its own id, and log them")
     sub.add_argument("--model", required=True)
-    sub.add_argument("--input", required=True, nargs="+")
+    sub.add_argument("--input", required=True, nargs="+", help="files, folders or globs")
     sub.add_argument("--results", required=True)
     sub.add_argument("--log", required=True)
     sub.add_argument("--config-label", default=S.DEFAULT_CONFIG)
@@ -150,7 +161,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job(results, "list, show or export results")
     sub.add_argument("--results", required=True)
-    sub.add_argument("--log")
+    sub.add_argument("--log", help="with --list, also names runs without a result")
     sub.add_argument("--list", action="store_true")
     sub.add_argument("--query")
     sub.add_argument("--rows", type=int, default=20)
@@ -184,8 +195,6 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.job == "results":
         if not (args.list or args.query):
             top.error("results needs --list or --query")
-        if args.list and not args.log:
-            top.error("--list needs --log")
     try:
         args.run(build_session(f"fareflow {args.job}"), args)
     except (FileNotFoundError, NoValidRows, UnreadableTrips, ValueError) as error:

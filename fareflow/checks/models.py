@@ -127,6 +127,16 @@ def score_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_all(spark, sf_dir, paths, root)
 
 
+def folder_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of which one file lacks a column is logged as failed, beside one that is whole."""
+    root = scratch_path(spark, "mixed")
+    trips = V.event_trips(spark, sf_dir)
+    trips.write.parquet(f"{root}/whole.parquet")
+    trips.write.parquet(f"{root}/mixed.parquet")
+    trips.drop("passenger_count").write.mode("append").parquet(f"{root}/mixed.parquet")
+    return _score_all(spark, sf_dir, [f"{root}/whole.parquet", f"{root}/mixed.parquet"], root)
+
+
 def score_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every monthly file scored in one job."""
     root = scratch_path(spark, "months")
@@ -189,6 +199,7 @@ QUERIES = {
     "gbt_same_model_any_layout": gbt_same_model_any_layout,
     "score_one_file": score_one_file,
     "score_files": score_many_files,
+    "folder_missing_column": folder_missing_column,
     "score_months": score_months,
     "stream_intake_score": stream_intake_score,
     "stream_batch_agreement": stream_batch_agreement,
@@ -218,6 +229,9 @@ FROM ({V.cleaned_sql(_MONTHS_SQL, labelled=False)}) AS cleaned""",
 FROM ({_KINDS_SQL}) AS kinds GROUP BY event_type
 UNION ALL SELECT 'idle.csv', FALSE, 'config_check', 0
 UNION ALL SELECT 'faceless.csv', FALSE, 'config_check', 0""",
+    "folder_missing_column": f"""SELECT 'whole.parquet' AS input, count(*) > 0 AS success, 'config_check' AS config, count(*) AS "rows"
+FROM ({_UNLABELLED_SQL}) AS cleaned
+UNION ALL SELECT 'mixed.parquet', FALSE, 'config_check', 0""",
     "score_months": f"""SELECT concat('trips=', strftime(tpep_pickup_datetime, '%Y-%m'), '.parquet') AS input,
   count(*) FILTER ({V.VALID_SQL}) > 0 AS success, 'config_check' AS config, count(*) FILTER ({V.VALID_SQL}) AS "rows"
 FROM ({_MONTHS_SQL}) AS trips GROUP BY 1""",

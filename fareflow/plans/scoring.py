@@ -6,12 +6,15 @@ single huge file is scored by as many tasks as it has splits.
 """
 
 import time
+from collections import defaultdict
 from collections.abc import Sequence
 from datetime import UTC, datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow import schemas as S
@@ -33,6 +36,10 @@ from fareflow.sources.trips import (
 )
 
 
+# Fixed value: the error condition of a file that cannot be read to its end.
+READ_FAILURE = "FAILED_READ_FILE"
+
+
 class NoValidRows(ValueError):
     """Cleaning left nothing to score."""
 
@@ -43,13 +50,15 @@ def score(model: PipelineModel, trips: DataFrame, keep: Sequence[str] = ()) -> D
     return predict(model, cleaned).select(*S.PREDICTION_COLUMNS, *keep)
 
 
-def score_path(spark: SparkSession, model: PipelineModel, path: str, out: str, format: str = "csv") -> None:
-    """Scores one file into the folder `out`; the input is left alone."""
+def score_path(spark: SparkSession, model: PipelineModel, path: str, out: str, format: str = "csv") -> int:
+    """Scores one file into the folder `out` and returns how many trips it scored; the input is left alone."""
     check_inputs(spark, [path])
     cleaned = read_clean_trips(spark, [path], labelled=False)
     if cleaned.isEmpty():
         raise NoValidRows(path)
-    write_predictions(predict(model, cleaned), out, format)
+    counted = Observation()
+    write_predictions(predict(model, cleaned).observe(counted, F.count(F.lit(1)).alias("trips")), out, format)
+    return counted.get["trips"]
 
 
 def _write_many(
@@ -68,6 +77,38 @@ def _write_many(
     write_predictions_by_run(scored.withColumn("query_id", names.column(F.col(INPUT_URI))), root, format)
 
 
+def _write_readable(
+    spark: SparkSession,
+    model: PipelineModel,
+    inputs: list[tuple[Layout, str]],
+    names: RunNames,
+    root: str,
+    format: str,
+) -> None:
+    """Scores the inputs in one job; if a file proves damaged, each half apart, down to the input at fault.
+
+    Raises only if none of the inputs could be read, or for another reason than reading.
+    """
+    groups: dict[Layout, list[str]] = defaultdict(list)
+    for layout, path in inputs:
+        groups[layout].append(path)
+    try:
+        _write_many(spark, model, groups, names, root, format)
+    except (PySparkException, Py4JJavaError) as error:
+        if len(inputs) == 1 or READ_FAILURE not in str(error):
+            raise
+        half, failures = len(inputs) // 2, []
+        for part in (inputs[:half], inputs[half:]):
+            try:
+                _write_readable(spark, model, part, names, root, format)
+            except (PySparkException, Py4JJavaError) as other:
+                if READ_FAILURE not in str(other):
+                    raise
+                failures.append(other)
+        if len(failures) == 2:
+            raise
+
+
 _RUN_SCHEMA = "timestamp timestamp, query_id string, path string, seconds double, success boolean, config string"
 
 
@@ -84,7 +125,8 @@ def score_files(
 
     A missing path or unknown suffix is refused before anything runs. A path that
     cannot be read, lacks a column or has no valid row is logged as failed and
-    does not hold up the others. A logged duration is the run's even share of the
+    does not hold up the others; if damage shows in the scan of every path, the error is
+    raised once it is logged. A logged duration is the run's even share of the
     submission's time, so that rates over the log are those of the work done. Returns
     the logged rows.
     """
@@ -107,7 +149,8 @@ def score_files(
     groups = group_layouts(spark, paths, labelled=False, on_unreadable=unreadable.__setitem__)
     try:
         if groups:
-            _write_many(spark, model, groups, names, root, format)
+            inputs = [(layout, path) for layout, members in groups.items() for path in members]
+            _write_readable(spark, model, inputs, names, root, format)
     except Exception:
         write_log(set())
         raise

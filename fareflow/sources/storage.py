@@ -27,6 +27,30 @@ def expand(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(location) or [])
 
 
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """The files below a folder that a scan of it reads."""
+    location, fs = _resolve(spark, folder)
+    depth = len(fs.makeQualified(location).toString().split("/"))
+    found, files = [], fs.listFiles(location, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        if not any(name.startswith(("_", ".")) and "=" not in name for name in path.split("/")[depth:]):
+            found.append(path)
+    return found
+
+
+def parquet_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of one Parquet file's columns, from its footer."""
+    location, _ = _resolve(spark, path)
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    source = parquet.util.HadoopInputFile.fromPath(location, spark.sparkContext._jsc.hadoopConfiguration())
+    reader = parquet.ParquetFileReader.open(source)
+    try:
+        return [field.getName() for field in reader.getFileMetaData().getSchema().getFields()]
+    finally:
+        reader.close()
+
+
 def uri(spark: SparkSession, path: str) -> str:
     """The address as the scan's `_metadata.file_path` spells it."""
     location, fs = _resolve(spark, path)

@@ -82,11 +82,33 @@ def month_paths(
     return found
 
 
+def check_folder(spark: SparkSession, folder: str, needed: Sequence[str]) -> None:
+    """Refuses a folder of Parquet files if one lacks a needed column: a scan would lose its rows.
+
+    Every footer is read, from the driver, PROBE_THREADS at a time.
+    """
+
+    def lacking(file: str) -> list[str]:
+        held = {name.lower() for name in storage.parquet_columns(spark, file)}
+        held |= {name.partition("=")[0].lower() for name in file.split("/") if "=" in name}
+        return [c for c in needed if c.lower() not in held]
+
+    files = storage.data_files(spark, folder)
+    try:
+        with ThreadPoolExecutor(PROBE_THREADS) as pool:
+            for file, missing in zip(files, pool.map(lacking, files)):
+                if missing:
+                    raise UnreadableTrips(f"{file}: missing columns {', '.join(missing)}")
+    except Py4JJavaError as error:
+        raise UnreadableTrips(f"{folder}: {str(error.java_exception)}") from error
+
+
 def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = None) -> Layout:
     """The layout of one path, from a footer or a header line.
 
     A directory counts as one path and is taken to be of one writer; if its files
-    differ in type or header after all, the scan raises instead of misreading them.
+    differ in type or header after all, the scan raises instead of misreading them. One
+    with a Parquet file that lacks a needed column is refused here.
     """
     format = format or input_format(path)
     reader = spark.read.option("header", "true") if format == "csv" else spark.read
@@ -96,6 +118,9 @@ def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = N
         raise UnreadableTrips(f"{path}: {str(error).splitlines()[0]}") from error
     by_name = {f.name.lower(): f for f in found.fields}
     needed = S.trip_columns(labelled)
+    depth = storage.folder_depth(spark, path)
+    if format == "parquet" and depth:
+        check_folder(spark, path, needed)
     missing = [c for c in needed if c.lower() not in by_name]
     if missing:
         raise UnreadableTrips(f"{path}: missing columns {', '.join(missing)}")
@@ -104,7 +129,7 @@ def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = N
         columns = tuple((f.name, "string") for f in found.fields)
     else:
         columns = tuple((c, by_name[c.lower()].dataType.simpleString()) for c in needed)
-    return Layout(format, storage.folder_depth(spark, path), columns)
+    return Layout(format, depth, columns)
 
 
 def group_layouts(

@@ -16,6 +16,7 @@ from fareflow.functions.naming import run_name
 from fareflow.operators.features import clean_trips
 from fareflow.operators.model import predict
 from fareflow.sources import storage
+from fareflow.sources.trips import check_folder
 
 
 def _run_of_file() -> Column:
@@ -42,10 +43,14 @@ def arriving_trips(
 ) -> DataFrame:
     """Unbounded trips, with a `query_id` per file, from a folder of one layout.
 
-    A file that breaks the layout stops the stream; it is never misread. For CSV the
-    schema lists the header's columns in order. The id is made of the file's own
+    A CSV file with another header, or a Parquet file with another column type, stops the
+    stream. A landed Parquet file that lacks a needed column is refused here, by name; one
+    that lands while the stream runs is refused at its next start, its rows being lost until
+    then. For CSV the schema lists the header's columns in order. The id is made of the file's own
     address and time, so a restarted stream names it alike.
     """
+    if format == "parquet" and storage.exists(spark, landing):
+        check_folder(spark, landing, S.trip_columns(labelled=False))
     reader = spark.readStream.schema(schema)
     if format == "csv":
         reader = reader.option("header", "true").option("enforceSchema", "false")

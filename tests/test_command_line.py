@@ -47,6 +47,9 @@ def test_a_whole_session(home, capsys):
     listed = capsys.readouterr().out.split("\n")
     assert f"{name:<50} complete" in listed and sum("no results" in line for line in listed) == 1
 
+    main(["results", "--results", at["out"], "--list"])
+    assert capsys.readouterr().out.split() == [name, "complete"]
+
     main(["results", "--results", at["out"], "--query", name, "--download", at["mine"]])
     shown = capsys.readouterr().out.splitlines()
     assert len(shown) == 3 and shown[0].startswith("  distance  pickup zone")
@@ -56,6 +59,11 @@ def test_a_whole_session(home, capsys):
     main(["analyse", "--log", at["log"], "--record", at["analysis"]])
     assert "best_config: config_A" in capsys.readouterr().out
     main(["predict", "--model", at["model"], "--input", at["t.csv"], "--output", str(home / "single")])
+    assert "scored 2 trips" in capsys.readouterr().out
+    main(["submit", "--model", at["model"], "--input", str(home / "t*.csv"), "--results", str(home / "out2"), "--log", str(home / "log2")])
+    assert "t.csv  complete" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["submit", "--model", at["model"], "--input", str(home / "none*.csv"), "--results", str(home / "out2"), "--log", str(home / "log2")])
     assert list((home / "single").glob("part-*.csv"))
 
 

@@ -115,6 +115,15 @@ def test_column_missing_in_one_month(spark, tmp_path):
         read_trips(spark, [str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")], labelled=True)
 
 
+def test_column_missing_in_one_file_of_a_folder(spark, tmp_path):
+    folder = str(tmp_path / "a.parquet")
+    _month(spark, tmp_path / "a.parquet")
+    assert read_trips(spark, [folder], labelled=True).count() > 0
+    spark.read.parquet(folder).drop("passenger_count").write.mode("append").parquet(folder)
+    with pytest.raises(UnreadableTrips, match="part-.*passenger_count"):
+        read_trips(spark, [folder], labelled=True)
+
+
 def test_unreadable_paths(spark, tmp_path):
     empty = tmp_path / "empty.csv"
     empty.write_text("")
