@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from fareflow.llm import language
 from fareflow.llm.language import Network, fit_languages, identify
@@ -86,6 +87,10 @@ def test_held_out_accuracy_and_odd_rows(spark):
     got = {r.doc_id: (r.lang_pred, r.score > 0) for r in identify(odd, net).collect()}
     assert got == {1: ("und", False), 2: ("und", False), 3: ("und", False), None: ("x", True), 5: ("z", True)}
     assert identify(odd.limit(0), net).count() == 0
+    both = identify(odd.withColumn("lang", F.lit("x")), net, keep=("lang", "text"))
+    assert both.columns == ["doc_id", "lang", "text", "lang_pred", "score"]
+    rows = lambda df: sorted(df.select("doc_id", "text").collect(), key=str)
+    assert rows(both) == rows(odd) and {r.doc_id: (r.lang_pred, r.score > 0) for r in both.collect()} == got
 
 
 def test_without_labels_all_is_undetermined(spark):

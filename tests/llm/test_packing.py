@@ -108,3 +108,11 @@ def test_few_windows_stay_open(monkeypatch):
         assert packer.count <= 9
     rows += packer.end()
     assert sum(r[2] for r in rows) == sum(33 + d % 20 for d in range(500))
+
+
+def test_small_word_tables_change_no_id(monkeypatch, whole):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    words = WordIds(public_tokenizer())
+    for text in ("The cat, the dog; the CAT saw 12 Ünïted dogs!", "the the mouse's house (cat) the", "", " a  b\tc "):
+        assert words.of(text) == whole(text).tobytes()
+    assert max(len(words._words), len(words._older), len(words._stems), len(words._older_stems)) <= 4
