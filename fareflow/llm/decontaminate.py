@@ -91,8 +91,8 @@ class Index:
         found = plain_words(text)
         return np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.uint64, len(found))
 
-    def places(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(entry, where its first word would lie) of every seed that `ids` shares."""
+    def places(self, ids: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
+        """(entry, where its first word would lie, text that holds the seed) of every seed that `ids` shares."""
         found = set()
         for mask, (keys, item, at, there) in self.seeds.items():
             hashed = _hashes(ids, mask)
@@ -100,7 +100,9 @@ class Index:
             low, high = (np.searchsorted(keys, hashed[near], side) for side in ("left", "right"))
             near, low, count = near[high > low], low[high > low], (high - low)[high > low]
             seed = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            found.update(zip(item[seed].tolist(), (np.repeat(near, count) - at[seed]).tolist(), strict=True))
+            here = np.repeat(near, count)
+            text = np.searchsorted(starts, here, "right") - 1
+            found.update(zip(item[seed].tolist(), (here - at[seed]).tolist(), text.tolist(), strict=True))
         return found
 
     def overlap(self, entry: int, ids: np.ndarray, offset: int) -> tuple[int, int, int] | None:
@@ -123,18 +125,14 @@ def _hits(index: Index, texts: list[str]) -> list[tuple]:
     joined = np.concatenate([x for ids in each for x in (ids, gap)])
     starts = np.cumsum([0, *(len(ids) + SPAN for ids in each)])
     best: dict[tuple[int, int], tuple] = {}
-    for entry, place in index.places(joined):
-        first = place + len(index.words[entry]) // 2
-        for doc in {int(np.searchsorted(starts, x, "right")) - 1 for x in (place, first, place + len(index.words[entry]) - 1)}:
-            if not 0 <= doc < len(each):
-                continue
-            offset = place - int(starts[doc])
-            if offset >= len(each[doc]) or (got := index.overlap(entry, each[doc], offset)) is None:
-                continue
-            start, end, matched = got
-            row = (-matched, start + offset, end + offset, start, end)
-            if (doc, entry) not in best or row < best[doc, entry]:
-                best[doc, entry] = row
+    for entry, place, doc in index.places(joined, starts):
+        offset = place - int(starts[doc])
+        if (got := index.overlap(entry, each[doc], offset)) is None:
+            continue
+        start, end, matched = got
+        row = (-matched, start + offset, end + offset, start, end)
+        if (doc, entry) not in best or row < best[doc, entry]:
+            best[doc, entry] = row
     return [
         (doc, item, row[1], row[2], row[3], row[4], -row[0], len(index.words[entry]))
         for (doc, entry), row in sorted(best.items())

@@ -74,3 +74,10 @@ def test_a_benchmark_in_blocks_finds_the_same(spark, monkeypatch):
 def test_items_about_a_window_long(spark, n):
     item = text(n, n)
     assert hits(spark, [(1, f"{text(77, 20)} {item} {text(78, 20)}")], [(1, item)]) == [(1, 1, 20, 20 + n, n)]
+
+
+def test_a_document_that_is_a_piece_of_a_long_item(spark):
+    item = text(1, 100)
+    words = item.split()
+    docs = [(k, " ".join(words[k : k + 20])) for k in range(0, 81, 5)]
+    assert hits(spark, docs, [(1, item)]) == sorted(((k, 1, 0, 20, 20) for k, _ in docs), key=str)
