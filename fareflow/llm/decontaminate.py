@@ -24,10 +24,16 @@ SPAN = len(MASKS[0])
 
 # An overlap counts from so many equal words on (all words of a shorter item, without a
 # replacement); a replaced word costs as much as three equal ones bring, so more than three
-# quarters of an overlap are equal. Items of fewer than MIN_ITEM words name nothing.
+# quarters of an overlap are equal. Whatever its stretches, an item of MIN_OVERLAP words or
+# more counts if WHOLE of all its words, as a fraction, are equal in their places.
+# Items of fewer than MIN_ITEM words name nothing.
 MIN_OVERLAP = 13
 PENALTY = 3
 MIN_ITEM = 5
+WHOLE = (4, 5)
+# Items of so many words at most have runs of four words as seeds too: with a fifth of the words
+# replaced a run of four stays, but for one placement in an item of 15 words.
+SHORT, RUN = 24, "1111"
 
 # Characters of benchmark text in a block: its index stays under some 100 MB.
 BLOCK_CHARS = 4_000_000
@@ -72,9 +78,11 @@ class Index:
         self.words = [np.array([self.vocabulary[w] for w in found], np.uint64) for found in same]
         self.seeds = {}
         short = {len(w) for w in self.words if len(w) < SPAN}
-        for mask in (*MASKS, *("1" * n for n in sorted(short))):
+        for mask in (*MASKS, RUN, *("1" * n for n in sorted(short))):
             fitting = [k for k, w in enumerate(self.words) if (len(w) >= SPAN) == (len(mask) == SPAN) and len(w) >= len(mask)]
-            if len(mask) < SPAN:
+            if mask == RUN:
+                fitting = [k for k, w in enumerate(self.words) if MIN_OVERLAP <= len(w) <= SHORT]
+            elif len(mask) < SPAN:
                 fitting = [k for k in fitting if len(self.words[k]) == len(mask)]
             hashed = [_hashes(self.words[k], mask) for k in fitting]
             if not hashed:
@@ -115,7 +123,12 @@ class Index:
         end = int(np.argmax(gain))
         start = int(np.argmin(sums[: end + 1]))
         matched = int(np.count_nonzero(equal[start:end]))
-        return (low + start, low + end, matched) if matched >= min(MIN_OVERLAP, len(item)) else None
+        if matched >= min(MIN_OVERLAP, len(item)):
+            return low + start, low + end, matched
+        at = np.flatnonzero(equal)
+        if len(item) < MIN_OVERLAP or WHOLE[1] * len(at) < WHOLE[0] * len(item):
+            return None
+        return low + int(at[0]), low + int(at[-1]) + 1, len(at)
 
 
 def _hits(index: Index, texts: list[str]) -> list[tuple]:
