@@ -3,7 +3,8 @@
 A seed hashes the words of a window at the positions a fixed mask names and ignores the
 others, so a passage with single words replaced still meets it. Documents are read once
 for each block of the benchmark; a block has a bounded size, so its index may be sent to
-every task, and a benchmark of any size is a matter of more blocks. Nothing is shuffled.
+every task, and a benchmark of any size is a matter of more blocks. Copies of one text
+are one text there; their items are joined to the hits. No document is shuffled.
 Around each hit the two texts are laid over one another and compared word by word.
 """
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import blocks_for, map_batches, sent, table, text_chunks
+from fareflow.llm.common import blocks_for, map_batches, sent, stored, table, text_chunks
 
 # Positions that count (1) in a window of 12 words; weight 8.
 MASKS = ("111011010011", "110110101101", "101101110011")
@@ -178,13 +179,19 @@ def contaminated(
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     items = items.filter(F.length("text") > 0)
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    items = stored(items, "benchmark-items")
+    texts = items.select("text").distinct().withColumn("entry", F.monotonically_increasing_id())
+    texts = stored(texts, "benchmark-texts")
+    chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = blocks_for(chars, BLOCK_CHARS)
     found = []
     for block in range(blocks):
-        mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        found.append(_search(docs, Index([(r.item_id, r.text) for r in mine.toLocalIterator()])))
-    return reduce(DataFrame.unionByName, found)
+        mine = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+        found.append(_search(docs, Index([(r.entry, r.text) for r in mine.toLocalIterator()])))
+    named = items.join(texts, "text").select(F.col("entry").alias("of"), F.col("item_id").alias("name"))
+    hits = reduce(DataFrame.unionByName, found)
+    hits = hits.join(named, hits.item_id == named.of).withColumn("item_id", F.col("name"))
+    return hits.select(*[field.split()[0] for field in HITS.split(", ")])
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

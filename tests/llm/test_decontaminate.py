@@ -97,3 +97,19 @@ def test_short_items_with_words_replaced(spark, n, replaced):
         items.append((k, item))
         docs.append((k, " ".join([text(2000 + k, 30), *words, text(3000 + k, 30)])))
     assert [h[:2] for h in hits(spark, docs, items)] == sorted(((k, k) for k, _ in docs), key=str)
+
+
+def test_copies_of_an_item_reach_the_driver_once(spark, monkeypatch):
+    given = []
+
+    class Seen(decontaminate.Index):
+        def __init__(self, items):
+            given.extend(items)
+            super().__init__(items)
+
+    monkeypatch.setattr(decontaminate, "Index", Seen)
+    item, other = text(1, 20), text(2, 20)
+    items = [*((k, item) for k in range(50)), (50, other), (None, other)]
+    found = hits(spark, [(1, item), (2, other)], items)
+    assert len(given) == 2
+    assert sorted(((h[0], h[1]) for h in found), key=str) == sorted([*((1, k) for k in range(50)), (2, 50), (2, None)], key=str)
