@@ -5,7 +5,9 @@ maps what it finds back to code points of the root, and adds the layers that dec
 yields. URL and Unicode escapes are decoded in place, so their findings keep exact
 places; base64 and compressed regions become layers whose findings take the region's
 place. Decoding an escape or base64 shrinks a text, so only decompression could go on
-for ever; a layer that was seen at the same place is not taken again.
+for ever; a layer that was seen at the same place is not taken again. A base64 region that
+cannot be read whole is cut at its lines, at what begins compressed data, and at all four
+offsets, where every stretch of ASCII is a layer.
 """
 
 import base64
@@ -19,6 +21,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import unquote_to_bytes
 
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +36,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH = 6
 
-# A layer that unpacks to more is not scanned but reported, as kind `oversize`.
+# A layer that unpacks to more is reported, as kind `oversize`, and scanned in windows of
+# that size that overlap.
 MAX_LAYER_BYTES = 64 << 20
+OVERLAP = 1 << 16
 
 FINDINGS = T.ArrayType(
     T.StructType().add("kind", "string").add("start", "long").add("end", "long").add("depth", "integer").add("via", "string")
@@ -45,6 +50,10 @@ BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{1,76}|[A-Za-z0-9+/]{16,})={0,2}"
 )
 BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
+# How compressed data begins in base64: gzip, zlib, zstandard, bzip2, xz.
+PACKED = re.compile(r"H4sI|eAE|eF4|eJ[w-z]|eN[o-r]|KLUv|Qlpo|/Td6")
+# The shortest secret's bytes; what else a region holds need not be text.
+STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 PERCENT = re.compile(r"%[0-7][0-9A-Fa-f]|(?:%[89A-Fa-f][0-9A-Fa-f])+")
 UNICODE = re.compile(
     r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}"
@@ -59,7 +68,7 @@ PACKED_HEX = re.compile(r"(?:\\x[0-9A-Fa-f]{2}){8,}")
 
 
 class Oversize(Exception):
-    pass
+    """With the compressed bytes, and the way to them."""
 
 
 class Layer:
@@ -116,14 +125,43 @@ def _inflate(data: bytes) -> bytes | None:
     return out
 
 
+def _windows(data: bytes) -> Iterator[str]:
+    """What `data` unpacks to, in windows; as far as it can be unpacked."""
+    step = max(1, MAX_LAYER_BYTES - OVERLAP)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        read = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read
+    elif data[:3] == b"BZh" or data[:1] == b"\xfd":
+        inner = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor()
+        rest = iter((data,))
+        read = lambda size: b"" if inner.eof else inner.decompress(next(rest, b""), size)
+    else:
+        stream, left = zlib.decompressobj(31 if data[:1] == b"\x1f" else 15), [data]
+
+        def read(size: int) -> bytes:
+            made = stream.decompress(left[0], size)
+            left[0] = stream.unconsumed_tail
+            return made
+
+    held = b""
+    try:
+        while made := read(step):
+            held = held[-OVERLAP:] + made
+            yield held.decode("utf-8", "replace")
+    except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
+        return
+
+
 def _readable(data: bytes) -> tuple[str, str] | None:
-    """(text, way) of bytes that are text or, after any number of decompressions, become text."""
+    """(text, way) of bytes that are text or, after any number of decompressions, become it but for bytes that are none."""
     way, seen = "", set()
-    while (inner := _inflate(data)) is not None and inner not in seen:
-        seen.add(inner)
-        data, way = inner, f"{way}>compressed"
     try:
-        return data.decode("utf-8"), way
+        while (inner := _inflate(data)) is not None and inner not in seen:
+            seen.add(inner)
+            data, way = inner, f"{way}>compressed"
+    except Oversize:
+        raise Oversize(data, f"{way}>compressed") from None
+    try:
+        return data.decode("utf-8", "replace" if way else "strict"), way
     except UnicodeDecodeError:
         return None
 
@@ -182,35 +220,87 @@ def _base64(run: str) -> bytes | None:
         return None
 
 
-def _regions(layer: Layer) -> Iterator[tuple[int, int, bytes, str]]:
+def _read(data: bytes | None) -> tuple[str, str] | Oversize | None:
+    try:
+        return _readable(data) if data else None
+    except Oversize as large:
+        return large
+
+
+Found = tuple[int, int, tuple[str, str] | Oversize]
+
+
+def _cut(start: int, run: str) -> Iterator[Found]:
+    """(start, end, what is read there) of a base64 match: it is read whole, else by its lines, else wherever text is in it."""
+    if (plain := _read(_base64(run))) is not None:
+        yield start, start + len(run), plain
+        return
+    cut = run.rfind("\n")
+    if cut >= 0:
+        body = run[:cut].rstrip("\r")
+        if (plain := _read(_base64(body))) is not None:
+            yield start, start + len(body), plain
+            if len(run) - cut > 16:
+                yield from _cut(start + cut + 1, run[cut + 1 :])
+            return
+    # Where each character of the joined lines stands.
+    at = [k for k, c in enumerate(run) if c not in "\r\n="]
+    joined = "".join(run[k] for k in at)
+    alphabet = joined.replace("-", "+").replace("_", "/")
+    for m in PACKED.finditer(alphabet):
+        rest = alphabet[m.start() :]
+        plain = _read(_base64(rest[:-1] if len(rest) % 4 == 1 else rest))
+        if isinstance(plain, Oversize) or plain and plain[1]:
+            yield start + at[m.start()], start + len(run), plain
+    for offset in range(4):
+        rest = alphabet[offset:]
+        data = _base64(rest[:-1] if len(rest) % 4 == 1 else rest) or b""
+        for m in STRETCH.finditer(data):
+            low = offset + m.start() // 3 * 4 + (0, 2, 3)[m.start() % 3]
+            first = m.start()
+            # A region that follows a word or path begins after a sign, with a whole group.
+            for k in range(offset + -(-m.start() // 3) * 4, offset + (m.end() - 12) // 3 * 4 + 1, 4):
+                if k and not joined[k - 1].isalnum():
+                    low, first = k, (k - offset) // 4 * 3
+                    break
+            high = offset + (m.end() * 4 + 2) // 3
+            end = start + at[min(high, len(at)) - 1] + 1
+            if high >= len(at):
+                end = start + len(run)
+            yield start + at[low], end, (data[first : m.end()].decode(), "")
+
+
+def _regions(layer: Layer) -> Iterator[tuple[int, int, tuple[str, str] | Oversize, str]]:
     text = layer.text
     for pattern in (BASE64, BASE64_URL):
         for m in pattern.finditer(text):
-            if (data := _base64(m.group())) is not None:
-                yield m.start(), m.end(), data, "base64"
+            for start, end, plain in _cut(m.start(), m.group()):
+                yield start, end, plain, "base64"
+    packed = []
     if "%" in text:
-        for m in PACKED_PERCENT.finditer(text):
-            yield m.start(), m.end(), unquote_to_bytes(m.group()), "url"
+        packed += [(m, unquote_to_bytes(m.group()), "url") for m in PACKED_PERCENT.finditer(text)]
     if "\\x" in text:
-        for m in PACKED_HEX.finditer(text):
-            yield m.start(), m.end(), bytes.fromhex(m.group().replace("\\x", "")), "unicode"
+        packed += [(m, bytes.fromhex(m.group().replace("\\x", "")), "unicode") for m in PACKED_HEX.finditer(text)]
+    for m, data, via in packed:
+        if (plain := _read(data)) is not None:
+            yield m.start(), m.end(), plain, via
 
 
 def _decoded(layer: Layer) -> Iterator[Layer]:
-    """The layers one step below; raises nothing: an oversize region comes as a layer without text."""
+    """The layers one step below; raises nothing: an oversize region comes as a layer without text, then in windows."""
     text = layer.text
     if "%" in text and (child := _in_place(layer, PERCENT, _percent, "url")):
         yield child
     if ("\\" in text or "&#" in text or "%u" in text) and (child := _in_place(layer, UNICODE, _escape, "unicode")):
         yield child
-    for start, end, data, via in _regions(layer):
+    for start, end, plain, via in _regions(layer):
         pieces = [(0, start, end, False)]
-        try:
-            plain = _readable(data)
-        except Oversize:
+        if isinstance(plain, Oversize):
+            data, way = plain.args
             yield Layer("", layer, pieces, "oversize")
-            continue
-        if plain and plain[0]:
+            for window in _windows(data):
+                yield Layer(window, layer, pieces, via + way)
+        elif plain[0]:
             yield Layer(plain[0], layer, pieces, via + plain[1])
 
 
@@ -219,21 +309,27 @@ def find_secrets(text: str | None) -> list[dict]:
     if not text:
         return []
     found: dict[tuple[int, int, int], tuple[int, str]] = {}
-    work, seen = [Layer(text)], {(text, 0, len(text))}
+    seen = set()
+    # Iterators over the layers below one another, so that of an oversize layer one window is held.
+    work: list[Iterator[Layer]] = [iter((Layer(text),))]
     while work:
-        layer = work.pop()
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        place = layer.in_root(0, max(1, len(layer.text)))
+        if not layer.text:
+            found.setdefault((place[0], KINDS.index("oversize"), place[1]), (layer.depth, layer.via))
+            continue
+        mark = (xxhash.xxh3_128_digest(layer.text.encode("utf-8", "surrogatepass")), *place)
+        if mark in seen:
+            continue
+        seen.add(mark)
         for kind, start, end in scan(layer.text):
             begin, stop = layer.in_root(start, end)
             key = (begin, KINDS.index(kind), stop)
             if key not in found or found[key][0] > layer.depth:
                 found[key] = (layer.depth, layer.via)
-        for child in _decoded(layer):
-            place = child.in_root(0, max(1, len(child.text)))
-            if not child.text:
-                found.setdefault((place[0], KINDS.index("oversize"), place[1]), (child.depth, child.via))
-            elif (mark := (child.text, *place)) not in seen:
-                seen.add(mark)
-                work.append(child)
+        work.append(_decoded(layer))
     return [
         {"kind": KINDS[kind], "start": start, "end": end, "depth": depth, "via": via}
         for (start, kind, end), (depth, via) in sorted(found.items())

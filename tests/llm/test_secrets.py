@@ -1,5 +1,8 @@
 import base64
+import bz2
 import gzip
+import lzma
+import random
 import zlib
 from urllib.parse import quote
 
@@ -90,3 +93,38 @@ def test_table(spark):
     found = sorted(((r.doc_id, len(r.findings)) for r in scan_secrets(docs).collect()), key=str)
     assert found == sorted([(1, 2), (1, 2), (None, 0), (2, 0)], key=str)
     assert scan_secrets(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [45, 48, 51, 54, 57])
+def test_a_base64_line_before_prose(size):
+    r = random.Random(size)
+    for _ in range(200):
+        secret = "password=" + "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=size - 9))
+        line = base64.b64encode(secret.encode()).decode()
+        word = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(1, 9)))
+        text = f"see:\n{line}\n{word} and more"
+        assert [s for s in spans(text) if s[0] == "assign" and s[1] <= 5 and s[2] >= 5 + len(line)], (text, spans(text))
+
+
+@pytest.mark.parametrize("before", ["https://h.example/a/", "path/of/", "abc+", "x/", "ab/", "/"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_a_region_after_other_base64_characters(before, pack):
+    region = base64.b64encode(pack(SECRET.encode())).decode()
+    found = spans(f"{before}{region} after")
+    assert ("assign", len(before), len(before) + len(region)) in found, found
+
+
+def test_a_byte_that_is_no_text_loses_itself_alone():
+    region = base64.b64encode(b"caf\xe9 " + SECRET.encode() + b" \xff\xfe").decode()
+    assert [s[0] for s in spans(f"x {region} y")] == ["assign", "hex"]
+    packed = base64.b64encode(gzip.compress(b"caf\xe9 " + SECRET.encode())).decode()
+    assert ("assign", 2, 2 + len(packed)) in spans(f"x {packed} y")
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_an_oversize_layer_is_scanned_in_windows(monkeypatch, pack):
+    monkeypatch.setattr(secrets, "MAX_LAYER_BYTES", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 200)
+    for before in (0, 780, 1560, 5000):
+        region = base64.b64encode(pack(b"." * before + SECRET.encode() + b"." * 5000)).decode()
+        assert [s[0] for s in spans(f"x {region}")] == ["assign", "hex", "oversize"]
