@@ -177,16 +177,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = stored(map_batches(docs, _signed, NODE), "signed")
     nodes = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    nodes = nodes.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    nodes = stored(nodes, "nodes")
-    prints = nodes.groupBy("node").agg(F.first("signature").alias("print")) if _repeats(nodes) else nodes.select("node", F.col("signature").alias("print"))
+    # A node is named by its set's digest, for several sets may have the same smallest key.
+    nodes = nodes.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.first("signature").alias("signature"))
+    nodes = stored(nodes.withColumn("node", F.col("low")), "nodes")
+    prints = nodes.select("node", F.col("signature").alias("print"))
     buckets = map_batches(nodes.select("node", "signature"), _banded, "bucket long, node long")
     members = kept_buckets(buckets, "near")
-    wanted = members.select("node").distinct().join(nodes.select("node", "low"), "node")
-    texts = docs.join(wanted, docs.doc_id == wanted.node).select("node", "text", "low")
+    wanted = members.select("node").distinct().join(nodes.select("node", "least"), "node")
+    texts = docs.join(wanted, docs.doc_id == wanted.least).select("node", "text", F.col("node").alias("low"))
     sets = stored(texts.mapInArrow(_set_batches, "node long, content binary").dropDuplicates(["node"]), "sets")
     groups = linked_groups(members, prints, sets, compare, similar, "near", first_shared)
-    named = nodes.join(groups, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
+    linked = nodes.select("node", "least").join(groups, "node")
+    smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
+    linked = linked.join(smallest, "component").select("node", "smallest")
+    named = nodes.join(linked, "node", "left").select("high", "low", F.coalesce("smallest", "least").alias("component"))
     found = signed.select("doc_id", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
@@ -196,11 +200,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _repeats(nodes: DataFrame) -> bool:
-    """Whether a key is the smallest of several different sets."""
-    return not nodes.groupBy("node").count().filter("count > 1").isEmpty()
-
-
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

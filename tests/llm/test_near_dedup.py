@@ -90,3 +90,12 @@ def test_links_outlast_the_posterior_and_far_pairs_do_not():
 def test_long_texts_are_hashed_whole():
     words = [f"w{k}" for k in range(50_000)]
     assert len(shingles(" ".join(words))) == 49_996
+
+
+def test_texts_with_the_same_smallest_key_keep_their_own_links(spark):
+    r = random.Random(9)
+    text = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    for _ in range(3):
+        one, other = text(100), text(100)
+        rows = [(1, one), (1, other), (2, one + " tail"), (3, other + " tail"), (4, text(100))]
+        assert found(spark, rows) == {1: (96, 1), 2: (97, 1), 3: (97, 1), 4: (96, 4)}

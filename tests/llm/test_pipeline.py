@@ -39,3 +39,15 @@ def test_planted_cases(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     want = sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in clean.values())
     assert {p.doc_id for p in pieces} == set(clean) and sum(p.length for p in pieces) == want
+
+
+def test_the_benchmark_stage_judges_missing_and_repeated_ids_by_text(spark, tmp_path):
+    r = random.Random(7)
+    text = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    item, clean = text(30), text(60)
+    leak = f"{text(20)} {item} {text(20)}"
+    rows = [(None, leak), (None, clean), (1, leak), (1, clean), (2, leak), (3, None)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA)
+    left = corpus_pipeline.by_benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted(((d.doc_id, d.text) for d in left), key=str) == sorted([(None, clean), (1, clean), (3, None)], key=str)
