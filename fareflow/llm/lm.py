@@ -8,7 +8,7 @@ classes, skips) are hashed into rows of a weight matrix of fixed size. Tasks des
 gradients on their own documents; their matrices are averaged and sent out again. The
 second factor is a softmax with one weight for each word, the logarithm of its count.
 
-Counts are of all training documents. A list of the most frequent words, of bounded
+Counts and descent are over all training documents. A list of the most frequent words, of bounded
 length, goes to every task; the others' counts are joined by word.
 """
 
@@ -37,9 +37,7 @@ FEATURES = 6
 # The most frequent words, whose counts every task has; some 15 MB there.
 FREQUENT = 100_000
 
-# One document of so many trains the class model, chosen by a hash: the share is fixed, so
-# that the training grows with the corpus.
-TRAIN_SHARE = 4
+# Rounds in which every training document is descended on.
 PASSES = 2
 DOCS_PER_TASK = 10_000
 RATE = 0.15
@@ -240,7 +238,6 @@ def _trained(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 
     At first only the feature that every token has weighs: the classes' own shares.
     """
-    docs = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(TRAIN_SHARE)) == 0)
     docs = docs.coalesce(blocks_for(docs.count(), DOCS_PER_TASK) + 5)
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[Tokens(vocabulary, [[END]]).features()[0, 0]] = np.log((vocabulary.class_total + 1) / (vocabulary.total + CLASSES))

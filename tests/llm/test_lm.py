@@ -123,3 +123,12 @@ def test_an_update_is_the_gradient_step():
         trainer.update(rows, kinds)
     assert -log_softmax(trainer.weights, rows)[np.arange(200), kinds].mean() < before
     assert BATCH > 0
+
+
+def test_every_training_document_moves_the_weights(spark):
+    vocabulary = lm.Vocabulary([(lm.END, 8), *((w, 10) for w in (b"a", b"b", b"c"))], 38, 4)
+    vocabulary.class_total[:4], vocabulary.class_distinct[:4] = (8, 10, 10, 10), 1
+    for key in range(6):
+        docs = spark.createDataFrame([(key, "a b c a b c")], "doc_id long, text string")
+        rows = vocabulary.read(["a b c a b c"]).features()[1:]
+        assert lm._trained(docs, vocabulary)[rows].any()
