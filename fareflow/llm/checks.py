@@ -1,8 +1,8 @@
 """The registered queries of this subpackage and the SQL they must equal."""
 
-from fareflow.llm import chat, decontaminate, language, line_dedup, lm, near_dedup, neighbours, packing, secrets, urls
+from fareflow.llm import chat, decontaminate, language, line_dedup, lm, near_dedup, neighbours, packing, resampling, secrets, urls
 
-MODULES = (secrets, decontaminate, chat, near_dedup, language, packing, urls, line_dedup, lm, neighbours)
+MODULES = (secrets, decontaminate, chat, near_dedup, language, packing, urls, line_dedup, lm, neighbours, resampling)
 
 
 def queries() -> dict:

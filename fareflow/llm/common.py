@@ -9,7 +9,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareflow.session import scratch_path
@@ -117,6 +117,23 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     return labels
 
 
+def numbered(df: DataFrame, order: Sequence[Column], place: str, name: str) -> DataFrame:
+    """The rows of `df` and their `place`, from 1, in the given order over the whole table.
+
+    The table is sorted in ranges and written; what passes between the tasks is one count for
+    each range. Rows alike in all of `order` stand in any order.
+    """
+    part, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Fixed value: such an id is the task's number, then 33 bits for the row's place in the task.
+    rows = rows.withColumn("_id", F.monotonically_increasing_id())
+    rows = stored(rows.withColumns({"_part": part, "_at": at}).drop("_id"), name)
+    counts = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(counts, "_part").withColumn(place, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+
+
 def blocks_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 
