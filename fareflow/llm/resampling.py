@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import give_back, numbered, table
+from fareflow.llm.common import give_back, numbered, stored, table
 
 BUCKETS = 10_000
 SEED = 7
@@ -244,7 +244,8 @@ def resample(
     """
     buckets = [{r.bucket: r.n for r in bucket_counts(side, text).collect()} for side in (docs, target)]
     rows = weighted(docs, gains(*buckets), key, text)
-    rows = rows.withColumn("score", F.col("weight") + gumbel(F.col("doc_id")))
+    # Written, as ranges are found from a first look at the rows.
+    rows = stored(rows.withColumn("score", F.col("weight") + gumbel(F.col("doc_id"))), "weights")
     # A pair fewer than words: n words have 2 n - 1 features.
     able = F.col("n_features") >= 2 * least_words - 1
     rank = [~able, F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("n_features")]
