@@ -138,7 +138,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--rounds", type=int, default=50)
     sub.add_argument("--depth", type=int, default=5)
     sub.add_argument("--seed", type=int, default=42)
-    sub.add_argument("--partitions", type=int)
+    sub.add_argument("--partitions", type=int, help="training tasks; by default the cluster's cores, more for a large table")
 
     sub = job(evaluate, "judge a stored model on the held-out share")
     sub.add_argument("--model", required=True)

@@ -1,62 +1,68 @@
-"""The fare model: seven numeric features into gradient-boosted trees."""
+"""The fare model: seven numeric features, in bins of equal share, into gradient-boosted trees."""
 
-from pyspark.ml import Pipeline, PipelineModel
+import math
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow import schemas as S
+from fareflow.operators.binning import quantile_bins
 from fareflow.session import ensure_checkpoint_dir
 
 # Training parameters of the published model.
 MAX_ITER = 50
 MAX_DEPTH = 5
 SEED = 42
+MAX_BINS = 32
 
-# Training tasks. MLlib samples its split candidates by partition, so a model depends on this
-# number; it never follows the rows or the cores. A large table deserves more.
-PARTITIONS = 32
-COPIES = "copies"
+# Rows of one training task, unless the cluster has more cores than that makes tasks.
+ROWS_PER_TASK = 2_000_000
+BINNED = "bin_of_"
 # Rounds between lineage cuts, so a lost executor replays a few rounds, not all.
 CHECKPOINT_ROUNDS = 10
 
 
-def fare_model(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int = SEED, **params) -> Pipeline:
-    """Unfitted stages; `params` are further GBTRegressor settings."""
+def fare_trees(max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH, seed: int = SEED, max_bins: int = MAX_BINS, **params) -> GBTRegressor:
+    """Unfitted trees; `params` are further GBTRegressor settings."""
     settings = {"checkpointInterval": CHECKPOINT_ROUNDS, **params}
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(S.FEATURE_COLUMNS), outputCol="features"),
-            GBTRegressor(
-                featuresCol="features",
-                labelCol=S.LABEL,
-                predictionCol=S.PREDICTION,
-                maxIter=max_iter,
-                maxDepth=max_depth,
-                seed=seed,
-                **settings,
-            ),
-        ]
+    return GBTRegressor(
+        featuresCol="features",
+        labelCol=S.LABEL,
+        predictionCol=S.PREDICTION,
+        maxIter=max_iter,
+        maxDepth=max_depth,
+        seed=seed,
+        maxBins=max_bins,
+        **settings,
     )
 
 
-def fit_fares(train: DataFrame, partitions: int = PARTITIONS, **params) -> PipelineModel:
-    """Fits on the distinct rows, each weighted by its copies.
+def fit_fares(train: DataFrame, partitions: int | None = None, max_bins: int = MAX_BINS, **params) -> PipelineModel:
+    """Fits the trees; which splits they may have depends on the rows, not on files, cores or `partitions`.
 
-    Rows are dealt by a hash and sorted in their partition: the model depends on the
-    rows and `partitions` alone, not on files, cores or the cluster. Copies are
-    counted before the shuffle, so a row that repeats often fills no partition.
+    One pass finds the bins, another deals the rows evenly, by row and never by key, over
+    `partitions` tasks: by default as many as the cluster has cores, or one for every
+    ROWS_PER_TASK rows. Sums over rows differ in their last digits with the dealing, which may settle a
+    tie between splits that part a node's rows alike.
     """
-    ensure_checkpoint_dir(train.sparkSession)
-    rows = train.groupBy(*S.CLEANED_COLUMNS).agg(F.count(F.lit(1)).cast("double").alias(COPIES))
-    rows = rows.repartition(partitions, *S.CLEANED_COLUMNS).sortWithinPartitions(*S.CLEANED_COLUMNS)
-    return fare_model(weightCol=COPIES, **params).fit(rows)
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = train.select(*S.CLEANED_COLUMNS)
+    bins, n = quantile_bins(rows, S.FEATURE_COLUMNS, max_bins, BINNED)
+    tasks = partitions or max(spark.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_TASK))
+    assembler = VectorAssembler(inputCols=bins.getOutputCols(), outputCol="features")
+    # Without the note that bins are categories: they are ordered, as the features are.
+    features = F.col("features").alias("features", metadata={})
+    rows = assembler.transform(bins.transform(rows.repartition(tasks))).select(features, S.LABEL)
+    return PipelineModel([bins, assembler, fare_trees(max_bins=max_bins, **params).fit(rows)])
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     """Adds `prediction`; row by row inside the scan's stage."""
-    return model.transform(features).drop("features")
+    return model.transform(features).drop("features", *[f"{BINNED}{c}" for c in S.FEATURE_COLUMNS])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -32,7 +32,7 @@ def home(spark, tmp_path_factory):
 def test_a_whole_session(home, capsys):
     at = {name: str(home / name) for name in ("raw", "cleaned", "model", "record", "t.csv", "bad.csv", "out", "log", "analysis", "mine")}
     main(["preprocess", "--raw", at["raw"], "--years", "2020-2023", "--out", at["cleaned"], "--by-month"])
-    main(["train", "--cleaned", at["cleaned"], "--years", "2022", "--model", at["model"], "--rounds", "3", "--partitions", "2"])
+    main(["train", "--cleaned", at["cleaned"], "--years", "2022", "--model", at["model"], "--rounds", "3"])
     assert "test_records" in capsys.readouterr().out
     main(["evaluate", "--model", at["model"], "--cleaned", at["cleaned"], "--record", at["record"]])
     (part,) = (home / "record").glob("part-*.json")
