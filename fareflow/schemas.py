@@ -83,6 +83,25 @@ RUN_LOG = T.StructType(
     ]
 )
 
+# Name of the folder beside the runs that says what became of each; scans pass over it.
+MANIFEST = "_submissions"
+SUBMISSIONS = T.StructType(
+    [
+        T.StructField("submission", T.StringType()),
+        T.StructField("query_id", T.StringType()),
+        T.StructField("uri", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("finished", T.TimestampType()),
+        T.StructField("seconds", T.DoubleType()),
+        T.StructField("config", T.StringType()),
+        T.StructField("input_rows", T.LongType()),
+        T.StructField("valid_rows", T.LongType()),
+        T.StructField("scored_rows", T.LongType()),
+        T.StructField("success", T.BooleanType()),
+        T.StructField("problem", T.StringType()),
+    ]
+)
+
 
 def trip_columns(labelled: bool) -> tuple[str, ...]:
     """Raw columns a job needs; only labelled trips carry a fare."""

@@ -13,6 +13,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # A task that meets no more run folders than this writes them side by side, without a sort.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "64")
     )
     if master:
         builder = builder.master(master)

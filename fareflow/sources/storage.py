@@ -1,6 +1,7 @@
 """Existence, listing and canonical addresses on whatever file system a path names."""
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,13 +58,43 @@ def uri(spark: SparkSession, path: str) -> str:
     return re.sub(r"^file:/+", "file:/", fs.makeQualified(location).toUri().toString())
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    location, fs = _resolve(spark, path)
+    fs.delete(location, True)
+
+
+def replace(spark: SparkSession, new: str, target: str) -> None:
+    """Puts `new` in the place of `target`; if that fails, what was there before is there again.
+
+    The old one steps aside under another name and is deleted once the new one stands.
+    """
+    source, fs = _resolve(spark, new)
+    destination, _ = _resolve(spark, target)
+    aside, _ = _resolve(spark, f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")
+    held = fs.exists(destination)
+    if held and not fs.rename(destination, aside):
+        raise OSError(f"cannot replace {target}")
+    try:
+        done = fs.rename(source, destination)
+    except Exception:
+        done = False
+        raise
+    finally:
+        if not done and held:
+            fs.rename(aside, destination)
+    if not done:
+        raise OSError(f"cannot write {target}")
+    if held:
+        fs.delete(aside, True)
+
+
 def promote_part(spark: SparkSession, folder: str, target: str) -> None:
-    """Turns a written folder's only part into the file `target`."""
+    """Turns a written folder's only part into the file `target`; a folder of that name is refused."""
     location, fs = _resolve(spark, folder)
+    destination, _ = _resolve(spark, target)
+    if fs.exists(destination) and fs.getFileStatus(destination).isDirectory():
+        raise IsADirectoryError(f"{target} is a folder")
     files = [status.getPath() for status in fs.listStatus(location)]
     (part,) = [file for file in files if file.getName().startswith("part-")]
-    destination, _ = _resolve(spark, target)
-    fs.delete(destination, True)
-    if not fs.rename(part, destination):
-        raise OSError(f"cannot write {target}")
+    replace(spark, part.toString(), target)
     fs.delete(location, True)

@@ -86,6 +86,18 @@ def append_run_log(rows: DataFrame, path: str) -> None:
     rows.select(*S.RUN_LOG.fieldNames()).coalesce(1).write.option("header", "true").csv(folder)
 
 
+def append_submission(manifest: DataFrame, root: str) -> None:
+    """Adds rows to the manifest of a result folder, which its readers pass over."""
+    manifest.select(*S.SUBMISSIONS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{root}/{S.MANIFEST}/part-{uuid.uuid4().hex}")
+
+
+def read_submissions(spark: SparkSession, root: str) -> DataFrame:
+    """Of every run ever submitted to `root`: its input, its counts of trips, and what was wrong with it."""
+    if not storage.exists(spark, f"{root}/{S.MANIFEST}"):
+        return spark.createDataFrame([], S.SUBMISSIONS)
+    return spark.read.schema(S.SUBMISSIONS).option("recursiveFileLookup", "true").parquet(f"{root}/{S.MANIFEST}")
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """The log of all submissions; a single CSV file from elsewhere is read as well."""
     return _csv_reader(spark, S.RUN_LOG).option("recursiveFileLookup", "true").csv(path)
@@ -102,12 +114,14 @@ def export_predictions(
     """Writes `<target>/<query_id>_results.csv`.
 
     Without `single_file` it is a folder of parts of that name, so that no single task
-    has to write it all; the size of the result has no say.
+    has to write it all; the size of the result has no say. An earlier export is replaced once
+    the new one is written; if that fails, it is still there. A folder is not replaced by a file.
     """
     stored, out = f"{root}/query_id={query_id}", f"{target}/{query_id}_results.csv"
     result = read_predictions(spark, stored, format)
-    if not single_file:
-        write_predictions(result, out)
+    written = f"{out}.part-{uuid.uuid4().hex}"
+    write_predictions(result if not single_file else result.coalesce(1), written)
+    if single_file:
+        storage.promote_part(spark, written, out)
     else:
-        write_predictions(result.coalesce(1), f"{out}.part")
-        storage.promote_part(spark, f"{out}.part", out)
+        storage.replace(spark, written, out)

@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from fareflow import schemas as S
 from fareflow.operators.features import clean_trips, typed_trips
 from fareflow.sources import storage
+from fareflow.sources.heads import input_heads
 
-# Footers and header lines looked up at a time; each lookup reads one file's head.
+# Paths whose existence is looked up at a time.
 PROBE_THREADS = 32
 
 # Scan column that names the submitted path a row came from.
@@ -85,7 +86,7 @@ def month_paths(
 def check_folder(spark: SparkSession, folder: str, needed: Sequence[str]) -> None:
     """Refuses a folder of Parquet files if one lacks a needed column: a scan would lose its rows.
 
-    Every footer is read, from the driver, PROBE_THREADS at a time.
+    The driver reads every footer; for stores that only Spark opens.
     """
 
     def lacking(file: str) -> list[str]:
@@ -104,42 +105,63 @@ def check_folder(spark: SparkSession, folder: str, needed: Sequence[str]) -> Non
 
 
 def probe(spark: SparkSession, path: str, labelled: bool, format: str | None = None) -> Layout:
-    """The layout of one path, from a footer or a header line.
-
-    A directory counts as one path and is taken to be of one writer; if its files
-    differ in type or header after all, the scan raises instead of misreading them. One
-    with a Parquet file that lacks a needed column is refused here.
-    """
+    """The layout of one path as Spark infers it on the driver; for what `look_up` is not sure of."""
     format = format or input_format(path)
     reader = spark.read.option("header", "true") if format == "csv" else spark.read
     try:
         found = reader.format(format).load(path).schema
     except (PySparkException, Py4JJavaError) as error:
         raise UnreadableTrips(f"{path}: {str(error).splitlines()[0]}") from error
-    by_name = {f.name.lower(): f for f in found.fields}
-    needed = S.trip_columns(labelled)
     depth = storage.folder_depth(spark, path)
     if format == "parquet" and depth:
-        check_folder(spark, path, needed)
+        check_folder(spark, path, S.trip_columns(labelled))
+    return _layout(path, format, depth, [(f.name, f.dataType.simpleString()) for f in found.fields], labelled)
+
+
+def _layout(path: str, format: str, depth: int, found: list[tuple[str, str]], labelled: bool) -> Layout:
+    by_name = {name.lower(): kind for name, kind in found}
+    needed = S.trip_columns(labelled)
     missing = [c for c in needed if c.lower() not in by_name]
     if missing:
         raise UnreadableTrips(f"{path}: missing columns {', '.join(missing)}")
     # CSV binds by position, so every column counts; Parquet binds by name.
     if format == "csv":
-        columns = tuple((f.name, "string") for f in found.fields)
+        columns = tuple((name, "string") for name, _ in found)
     else:
-        columns = tuple((c, by_name[c.lower()].dataType.simpleString()) for c in needed)
+        columns = tuple((c, by_name[c.lower()]) for c in needed)
     return Layout(format, depth, columns)
 
 
-def group_layouts(
-    spark: SparkSession,
-    paths: Sequence[str],
-    labelled: bool,
-    format: str | None = None,
-    on_unreadable: Callable[[str, UnreadableTrips], None] | None = None,
-) -> dict[Layout, list[str]]:
-    """Paths by layout; an unreadable path raises unless a callback takes it."""
+def look_up(
+    spark: SparkSession, paths: Sequence[str], labelled: bool, format: str | None = None
+) -> dict[str, tuple[Layout | UnreadableTrips, int | None]]:
+    """By path: its layout, or why it has none, and its rows if they are known; one job for all paths.
+
+    A directory counts as one path and is taken to be of one writer; if its files differ
+    in type or header after all, the scan raises instead of misreading them. One with a file that
+    lacks a needed column is refused here.
+    """
+    paths = list(paths)
+    if not paths:
+        return {}
+    uris = {storage.uri(spark, path): path for path in paths}
+    needed = list(S.trip_columns(labelled))
+    rows = [(uri, format or input_format(path), needed) for uri, path in uris.items()]
+    heads = input_heads(spark, spark.createDataFrame(rows, "uri string, format string, needed array<string>"), paths)
+    found: dict[str, tuple[Layout | UnreadableTrips, int | None]] = {}
+    unsure: list[str] = []
+    for head in heads.toLocalIterator():
+        path = uris[head.uri]
+        depth = head.uri.count("/") + 1 if head.folder else 0
+        if head.unsure:
+            unsure.append(path)
+        elif head.problem:
+            found[path] = UnreadableTrips(f"{path}: {head.problem}"), None
+        elif head.lacking:
+            found[path] = UnreadableTrips(f"{head.lacking.file}: missing columns {head.lacking.columns}"), None
+        else:
+            kind = format or input_format(path)
+            found[path] = _layout(path, kind, depth, list(zip(head.names, head.types)), labelled), head.rows
 
     def attempt(path: str) -> Layout | UnreadableTrips:
         try:
@@ -148,9 +170,20 @@ def group_layouts(
             return error
 
     with ThreadPoolExecutor(PROBE_THREADS) as pool:
-        outcomes = list(pool.map(attempt, paths))
+        found |= {path: (layout, None) for path, layout in zip(unsure, pool.map(attempt, unsure))}
+    return {path: found.get(path, (UnreadableTrips(f"{path}: holds no file"), None)) for path in paths}
+
+
+def group_layouts(
+    spark: SparkSession,
+    paths: Sequence[str],
+    labelled: bool,
+    format: str | None = None,
+    on_unreadable: Callable[[str, UnreadableTrips], None] | None = None,
+) -> dict[Layout, list[str]]:
+    """Paths by layout; an unreadable path raises unless a callback takes it."""
     groups: dict[Layout, list[str]] = defaultdict(list)
-    for path, outcome in zip(paths, outcomes):
+    for path, (outcome, _) in look_up(spark, paths, labelled, format).items():
         if isinstance(outcome, Layout):
             groups[outcome].append(path)
         elif on_unreadable:

@@ -21,7 +21,7 @@ from fareflow.sources.trips import check_folder
 
 def _run_of_file() -> Column:
     arrived = F.date_format(F.col("_metadata.file_modification_time"), "yyyyMMdd_HHmmss")
-    return run_name(arrived, F.col("_metadata.file_path"))
+    return run_name(arrived, F.xxhash64(F.col("_metadata.file_path")))
 
 
 def landed_runs(spark: SparkSession, landing: str) -> DataFrame:
