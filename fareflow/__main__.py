@@ -16,11 +16,12 @@ from fareflow.operators.results import PREVIEW_COLUMNS, preview, read_result_tex
 from fareflow.plans.evaluation import evaluate_cleaned
 from fareflow.plans.preprocess import preprocess_months
 from fareflow.plans.run_analysis import analyse_runs
-from fareflow.plans.scoring import NoValidRows, score_files, score_path
+from fareflow.plans.scoring import NoValidRows, score_files, score_path_counted
 from fareflow.plans.training import train_on_cleaned, train_on_raw
 from fareflow.session import build_session
 from fareflow.sources import storage
-from fareflow.sources.tables import export_predictions, read_cleaned, read_run_log
+from fareflow.sources.run_log import compact_run_log, read_run_log
+from fareflow.sources.tables import export_predictions, read_cleaned, read_submissions
 from fareflow.sources.trips import UnreadableTrips, month_paths
 from fareflow.streaming.intake import arriving_trips, start_intake
 
@@ -36,9 +37,9 @@ def preprocess(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     params = {"max_iter": args.rounds, "max_depth": args.depth, "seed": args.seed, "partitions": args.partitions}
-    if args.raw:
-        paths = month_paths(spark, args.raw, args.years, pattern=args.pattern)
-        _, metrics = train_on_raw(spark, paths, args.model, args.cleaned, format="parquet", **params)
+    if args.raw or args.files:
+        paths = _expanded(spark, args.files) if args.files else month_paths(spark, args.raw, args.years, pattern=args.pattern)
+        _, metrics = train_on_raw(spark, paths, args.model, args.cleaned, format=None if args.files else "parquet", **params)
     else:
         _, metrics = train_on_cleaned(read_cleaned(spark, args.cleaned, args.years), args.model, **params)
     _print_row(evaluation_record(metrics))
@@ -49,8 +50,8 @@ def evaluate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def predict(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = score_path(spark, load_model(args.model), args.input, args.output, args.format)
-    print(f"scored {scored} trips")
+    counts = score_path_counted(spark, load_model(args.model), args.input, args.output, args.format)
+    print(f"read {counts.input} trips, {counts.valid} of them valid\nscored {counts.valid} trips into {args.output}")
 
 
 def _expanded(spark: SparkSession, inputs: Sequence[str]) -> list[str]:
@@ -60,13 +61,13 @@ def _expanded(spark: SparkSession, inputs: Sequence[str]) -> list[str]:
 
 
 def submit(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = score_files(
-        spark, load_model(args.model), _expanded(spark, args.input), args.results, args.log, args.config_label, args.format
-    ).toLocalIterator()
+    logged = score_files(spark, load_model(args.model), _expanded(spark, args.input), args.results, args.log, args.config_label, args.format)
     failed = 0
-    for row in rows:
+    runs = read_submissions(spark, args.results).select("query_id", "input_rows", "valid_rows", "problem")
+    for row in logged.join(runs, "query_id").toLocalIterator():
         failed += not row.success
-        print(f"{row.query_id}  {row.input}  {'complete' if row.success else 'failed'}  {row.duration_seconds} s")
+        print(f"{row.query_id}  {row.input}  {'complete' if row.success else 'failed'}  {row.duration_seconds} s", end="  ")
+        print(f"{row.valid_rows} of {row.input_rows} trips scored" if row.success else row.problem)
     if failed:
         sys.exit(1)
 
@@ -100,6 +101,10 @@ def analyse(spark: SparkSession, args: argparse.Namespace) -> None:
         print("  ".join(str(value) for value in row))
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"merged {compact_run_log(spark, args.log)} folders")
+
+
 def intake(spark: SparkSession, args: argparse.Namespace) -> None:
     trips = arriving_trips(spark, args.landing, args.schema, args.format, args.files_per_batch)
     query = start_intake(load_model(args.model), trips, args.results, args.checkpoint, once=not args.keep_running)
@@ -133,7 +138,8 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job(train, "fit and store the model")
     months(sub, raw_required=False)
-    sub.add_argument("--cleaned", help="cleaned table; with --raw, where to write it")
+    sub.add_argument("--files", nargs="+", help="raw files, folders or globs, in place of --raw")
+    sub.add_argument("--cleaned", help="cleaned table; with --raw or --files, where to write it")
     sub.add_argument("--model", required=True)
     sub.add_argument("--rounds", type=int, default=50)
     sub.add_argument("--depth", type=int, default=5)
@@ -172,6 +178,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--log", required=True)
     sub.add_argument("--record", required=True)
 
+    sub = job(compact, "merge the run log's small files")
+    sub.add_argument("--log", required=True)
+
     sub = job(intake, "score files as they land")
     sub.add_argument("--model", required=True)
     sub.add_argument("--landing", required=True)
@@ -188,8 +197,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     top = parser()
     args = top.parse_args(argv)
     if args.job == "train":
-        if not (args.raw or args.cleaned):
-            top.error("train needs --raw or --cleaned")
+        if not (args.raw or args.files or args.cleaned):
+            top.error("train needs --raw, --files or --cleaned")
         if args.raw and not args.years:
             args.years = _years("2022")
     if args.job == "results":
@@ -197,7 +206,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             top.error("results needs --list or --query")
     try:
         args.run(build_session(f"fareflow {args.job}"), args)
-    except (FileNotFoundError, NoValidRows, UnreadableTrips, ValueError) as error:
+    except (OSError, NoValidRows, UnreadableTrips, ValueError) as error:
         sys.exit(f"Error: {error}")
 
 

@@ -1,11 +1,12 @@
 """Queries that fit, store, reload and apply the fare model.
 
-Fitted trees have no SQL form: the queries that return predictions or their quality
-are checked for rows only, the others state what must hold whatever was fitted.
+Fitted trees have no SQL form: the queries state what must hold whatever was fitted, and hold
+stored predictions, by value, against those of `score`.
 """
 
 from functools import cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +16,16 @@ from fareflow import schemas as S
 from fareflow.checks import views as V
 from fareflow.checks.trips import clean_labelled, cleaned_round_trip, portable_bucket
 from fareflow.operators.features import clean_trips
-from fareflow.operators.metrics import TOLERANCES, regression_metrics
+from fareflow.operators.metrics import TOLERANCES, evaluation_record, regression_metrics
 from fareflow.operators.model import fit_fares, load_model, predict, save_model
-from fareflow.operators.results import result_catalogue, rows_per_run, stored_runs
+from fareflow.operators.results import result_catalogue, stored_runs
 from fareflow.operators.split import hash_split
 from fareflow.plans.evaluation import evaluate_cleaned
 from fareflow.plans.scoring import score, score_files, score_path
 from fareflow.plans.training import train_on_cleaned
 from fareflow.session import scratch_path
 from fareflow.sources import storage
-from fareflow.sources.tables import read_predictions, read_predictions_by_run
+from fareflow.sources.tables import read_predictions, read_predictions_by_run, read_submissions
 from fareflow.streaming.intake import arriving_trips, landed_runs, start_intake
 
 
@@ -40,19 +41,51 @@ def saved_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return load_model(_saved_model(spark.sparkContext.applicationId, spark, sf_dir))
 
 
+def _judged(metrics: DataFrame, cleaned: DataFrame) -> list:
+    """What must hold of the quality on the held-out share of `cleaned`, whatever was fitted."""
+    rows = cleaned.count()
+    within = [F.col(f"percentage_within_{t}_dollar") for t in TOLERANCES]
+    return [
+        F.lit(rows).alias("trips"),
+        F.col("test_records").between(0.16 * rows, 0.24 * rows).alias("a_fifth_held_out"),
+        ((F.col("r2") > 0.8) & (F.col("r2") <= 1)).alias("learned"),
+        ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))).alias("errors_ordered"),
+        ((within[0] <= within[1]) & (within[1] <= within[2]) & (within[2] <= 100)).alias("shares_ordered"),
+    ]
+
+
 def gbt_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, metrics = train_on_cleaned(cleaned_round_trip(spark, sf_dir))
-    return metrics
+    cleaned = cleaned_round_trip(spark, sf_dir)
+    _, metrics = train_on_cleaned(cleaned)
+    return metrics.select(*_judged(metrics, cleaned))
 
 
 def gbt_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A saved model judged on the held-out share; the record is stored and read back."""
+    """A saved model judged on the held-out share; the record is stored, read back, and equals the rounded metrics."""
     record_path = scratch_path(spark, "evaluation")
-    return evaluate_cleaned(saved_model(spark, sf_dir), cleaned_round_trip(spark, sf_dir), record_path)
+    model, cleaned = saved_model(spark, sf_dir), cleaned_round_trip(spark, sf_dir)
+    record = evaluate_cleaned(model, cleaned, record_path)
+    rounded = evaluation_record(regression_metrics(predict(model, hash_split(cleaned)[1]))).first()
+    figures = [c for c in record.columns if c != "timestamp"]
+    same = F.lit(True)
+    for c in figures:
+        same = same & F.col(c).eqNullSafe(F.lit(rounded[c]))
+    return record.select(*_judged(record, cleaned), same.alias("as_computed"))
 
 
 def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(saved_model(spark, sf_dir), V.event_trips(spark, sf_dir), keep=["trip_id"])
+    """Predictions of a stored model beside the trips' keys; `prediction` tells that it is a number within the fares learnt."""
+    scored = score(saved_model(spark, sf_dir), V.event_trips(spark, sf_dir), keep=["trip_id"])
+    return scored.withColumn(S.PREDICTION, F.col(S.PREDICTION).between(-50, 200))
+
+
+def hash_split_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default split of the distinct line items: both shares whole, and a fifth held out."""
+    cleaned = clean_trips(V.line_trips(spark, sf_dir), labelled=True).distinct()
+    train, test = hash_split(cleaned)
+    sides = train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
+    share = F.count_if("held_out") / F.count("*")
+    return sides.agg(F.count("*").alias("trips"), share.between(0.18, 0.22).alias("fair"))
 
 
 def gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,36 +132,85 @@ def gbt_same_model_any_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scored_flag(predictions: DataFrame) -> DataFrame:
-    return predictions.withColumn(S.PREDICTION, F.col(S.PREDICTION).isNotNull())
+def _as_expected(stored: DataFrame, expected: DataFrame) -> DataFrame:
+    """The stored rows; `prediction` tells whether so many alike were expected."""
+    columns = list(S.PREDICTION_COLUMNS)
+    there = stored.groupBy(*columns).agg(F.count("*").alias("there"))
+    wanted = expected.groupBy(*columns).agg(F.count("*").alias("wanted"))
+    rows = there.join(wanted, columns, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), "there")))
+    return rows.withColumn(S.PREDICTION, F.coalesce(F.col("there") == F.col("wanted"), F.lit(False))).select(columns)
 
 
 def score_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "one-file")
-    V.event_trips(spark, sf_dir).write.option("header", "true").csv(f"{root}/trips.csv")
-    score_path(spark, saved_model(spark, sf_dir), f"{root}/trips.csv", f"{root}/out")
-    return _scored_flag(read_predictions(spark, f"{root}/out"))
+    root, trips = scratch_path(spark, "one-file"), V.event_trips(spark, sf_dir)
+    trips.write.option("header", "true").csv(f"{root}/trips.csv")
+    model = saved_model(spark, sf_dir)
+    score_path(spark, model, f"{root}/trips.csv", f"{root}/out")
+    return _as_expected(read_predictions(spark, f"{root}/out"), score(model, trips))
+
+
+def _score_all(spark: SparkSession, sf_dir: str, paths: list[str], root: str, trips: DataFrame) -> DataFrame:
+    """One job over all paths; per path its logged outcome, its rows, and those that `trips` (with their `input`) don't have or have besides."""
+    model = saved_model(spark, sf_dir)
+    logged = score_files(spark, model, paths, f"{root}/out", f"{root}/log", "config_check")
+    stored = read_predictions_by_run(spark, f"{root}/out").join(logged.select("query_id", "input"), "query_id").drop("query_id")
+    sides = stored.withColumn("copies", F.lit(1)).unionByName(score(model, trips, keep=["input"]).withColumn("copies", F.lit(-1)))
+    alike = sides.groupBy("input", *S.PREDICTION_COLUMNS).agg(F.count_if(F.col("copies") > 0).alias("there"), F.sum("copies").alias("surplus"))
+    counts = alike.groupBy("input").agg(F.sum("there").alias("rows"), F.sum(F.abs("surplus")).alias("differing"))
+    zero = F.lit(0)
+    return logged.join(counts, "input", "left").select(
+        "input", "success", "config", F.coalesce("rows", zero).alias("rows"), F.coalesce("differing", zero).alias("differing")
+    )
 
 
-def _score_all(spark: SparkSession, sf_dir: str, paths: list[str], root: str) -> DataFrame:
-    """One job over all paths; per path its row count and logged outcome."""
-    logged = score_files(spark, saved_model(spark, sf_dir), paths, f"{root}/out", f"{root}/log", "config_check")
-    counts = rows_per_run(read_predictions_by_run(spark, f"{root}/out"))
-    rows = F.coalesce("rows", F.lit(0)).alias("rows")
-    return logged.join(counts, "query_id", "left").select("input", "success", "config", rows)
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Zeros in the middle of a Parquet folder's only file, whose footer stays good; by Spark's own file system."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
+    stream = fs.open(part)
+    body = bytearray(stream.readAllBytes())
+    stream.close()
+    body[4 : len(body) // 2] = bytes(len(body) // 2 - 4)
+    out = fs.create(part, True)
+    out.write(bytes(body))
+    out.close()
+
+
+_EVENT_KIND = "concat('kind=', event_type, '.parquet')"
+
+
+def _mixed_inputs(spark: SparkSession, sf_dir: str, root: str) -> tuple[list[str], DataFrame]:
+    """Parquet and CSV inputs at once, among them one without valid rows and one without a column, and their trips by input."""
+    trips = V.view(spark, sf_dir, "events", {**V.TRIPS, "input": _EVENT_KIND})
+    trips.withColumn("kind", F.substring_index("input", "=", -1)).drop("input").write.partitionBy("kind").parquet(f"{root}/in")
+    events = V.event_trips(spark, sf_dir)
+    some = events.filter("trip_id % 3 = 0")
+    some.write.option("header", "true").csv(f"{root}/some.csv")
+    events.filter("passenger_count = 0").write.option("header", "true").csv(f"{root}/idle.csv")
+    events.drop("passenger_count").write.option("header", "true").csv(f"{root}/faceless.csv")
+    paths = [*storage.expand(spark, f"{root}/in/kind=*"), f"{root}/some.csv", f"{root}/idle.csv", f"{root}/faceless.csv"]
+    return paths, trips.unionByName(some.withColumn("input", F.lit("some.csv")))
 
 
 def score_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parquet and CSV inputs at once, among them one without valid rows and one without a column."""
+    """The mixed inputs and two whose damage shows only in the scan: every run as `score` has it, by value."""
     root = scratch_path(spark, "many-files")
-    kinds = {**V.TRIPS, "kind": "concat(event_type, '.parquet')"}
-    V.view(spark, sf_dir, "events", kinds).write.partitionBy("kind").parquet(f"{root}/in")
-    trips = V.event_trips(spark, sf_dir)
-    idle = trips.filter("passenger_count = 0")
-    idle.write.option("header", "true").csv(f"{root}/idle.csv")
-    trips.drop("passenger_count").write.option("header", "true").csv(f"{root}/faceless.csv")
-    paths = [*storage.expand(spark, f"{root}/in/kind=*"), f"{root}/idle.csv", f"{root}/faceless.csv"]
-    return _score_all(spark, sf_dir, paths, root)
+    paths, trips = _mixed_inputs(spark, sf_dir, root)
+    for k in range(2):
+        V.event_trips(spark, sf_dir).coalesce(1).write.parquet(f"{root}/damaged-{k}.parquet")
+        _damage(spark, f"{root}/damaged-{k}.parquet")
+    return _score_all(spark, sf_dir, [f"{root}/damaged-0.parquet", *paths, f"{root}/damaged-1.parquet"], root, trips)
+
+
+def runlog_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of each input of a batch: trips read, valid and scored, counted in the scoring pass."""
+    root = scratch_path(spark, "batch")
+    paths, _ = _mixed_inputs(spark, sf_dir, root)
+    score_files(spark, saved_model(spark, sf_dir), paths, f"{root}/out", f"{root}/log")
+    runs = read_submissions(spark, f"{root}/out")
+    return runs.select(F.substring_index("path", "/", -1).alias("input"), "input_rows", "valid_rows", "scored_rows", "success")
 
 
 def folder_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,17 +220,38 @@ def folder_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips.write.parquet(f"{root}/whole.parquet")
     trips.write.parquet(f"{root}/mixed.parquet")
     trips.drop("passenger_count").write.mode("append").parquet(f"{root}/mixed.parquet")
-    return _score_all(spark, sf_dir, [f"{root}/whole.parquet", f"{root}/mixed.parquet"], root)
+    paths = [f"{root}/whole.parquet", f"{root}/mixed.parquet"]
+    return _score_all(spark, sf_dir, paths, root, trips.withColumn("input", F.lit("whole.parquet"))).drop("differing")
 
 
 def score_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every monthly file scored in one job."""
+    """Every monthly file scored in one job, each as `score` has it, by value."""
     root = scratch_path(spark, "months")
     trips = V.line_trips(spark, sf_dir)
     month = F.concat(F.date_format(S.PICKUP, "yyyy-MM"), F.lit(".parquet"))
     months = trips.withColumn("trips", month).hint("rebalance", "trips")
     months.write.partitionBy("trips").parquet(f"{root}/in")
-    return _score_all(spark, sf_dir, storage.expand(spark, f"{root}/in/trips=*"), root)
+    named = trips.withColumn("input", F.concat(F.lit("trips="), month))
+    return _score_all(spark, sf_dir, storage.expand(spark, f"{root}/in/trips=*"), root, named)
+
+
+def refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is asked of the inputs before any work: why each submission is refused, and the trips of the one that is not."""
+    root, trips = scratch_path(spark, "refused"), V.event_trips(spark, sf_dir)
+    good = f"{root}/trips.parquet"
+    trips.write.parquet(good)
+    trips.write.json(f"{root}/trips.json")
+    cases = {"absent": [good, f"{root}/absent.parquet"], "suffix": [good, f"{root}/trips.json"], "twice": [good, good], "whole": [good]}
+    rows = []
+    for case, paths in cases.items():
+        try:
+            logged = score_files(spark, saved_model(spark, sf_dir), paths, f"{root}/{case}", f"{root}/log-{case}")
+            rows.append((case, None, logged.count()))
+        except (FileNotFoundError, ValueError) as error:
+            rows.append((case, type(error).__name__, int(storage.exists(spark, f"{root}/log-{case}"))))
+    outcomes = spark.createDataFrame(rows, "case string, refused string, logged long")
+    valid = spark.range(1).select(F.lit(clean_trips(trips, labelled=False).count()).cast("long").alias("valid_rows"))
+    return outcomes.crossJoin(F.broadcast(valid))
 
 
 def stream_intake_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,8 +260,19 @@ def stream_intake_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = V.event_trips(spark, sf_dir)
     trips.repartition(4).write.parquet(f"{root}/landing")
     arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=2)
-    start_intake(saved_model(spark, sf_dir), arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return _scored_flag(read_predictions_by_run(spark, f"{root}/out", "parquet")).drop("query_id")
+    model = saved_model(spark, sf_dir)
+    start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return _as_expected(read_predictions_by_run(spark, f"{root}/out", "parquet"), score(model, trips))
+
+
+def _stream_against_batch(spark: SparkSession, root: str, model: PipelineModel, trips: DataFrame) -> DataFrame:
+    """Rows the stream has stored, and how many of them, counting copies, a batch run has not or has besides."""
+    streamed = read_predictions_by_run(spark, f"{root}/out", "parquet").drop("query_id")
+    sides = streamed.withColumn("copies", F.lit(1)).unionByName(score(model, trips).withColumn("copies", F.lit(-1)))
+    rows = sides.groupBy(*S.PREDICTION_COLUMNS).agg(
+        F.count_if(F.col("copies") > 0).alias("streamed"), F.sum("copies").alias("surplus")
+    )
+    return rows.agg(F.sum("streamed").alias("streamed"), F.sum(F.abs("surplus")).alias("differing"))
 
 
 def stream_batch_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,13 +283,49 @@ def stream_batch_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = saved_model(spark, sf_dir)
     arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=3)
     start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    streamed = read_predictions_by_run(spark, f"{root}/out", "parquet").drop("query_id")
-    batch = score(model, trips)
-    sides = streamed.withColumn("copies", F.lit(1)).unionByName(batch.withColumn("copies", F.lit(-1)))
-    rows = sides.groupBy(*S.PREDICTION_COLUMNS).agg(
-        F.count_if(F.col("copies") > 0).alias("streamed"), F.sum("copies").alias("surplus")
-    )
-    return rows.agg(F.sum("streamed").alias("streamed"), F.sum(F.abs("surplus")).alias("differing"))
+    return _stream_against_batch(spark, root, model, trips)
+
+
+def _broken_stream(spark: SparkSession, sf_dir: str) -> tuple[str, PipelineModel, DataFrame, Exception | None]:
+    """A stream that has drained half of the line items when a file without a column lands; how it ended."""
+    root, model, trips = scratch_path(spark, "stream"), saved_model(spark, sf_dir), V.line_trips(spark, sf_dir)
+    trips.filter("PULocationID % 2 = 0").repartition(2).write.parquet(f"{root}/landing")
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
+    start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    rest = trips.filter("PULocationID % 2 <> 0").coalesce(1)
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
+    rest.drop("passenger_count").write.mode("append").parquet(f"{root}/landing")
+    query = start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint")
+    try:
+        query.awaitTermination()
+        return root, model, trips, None
+    except StreamingQueryException as error:
+        return root, model, trips, error
+
+
+def _landed(spark: SparkSession, root: str) -> set[str]:
+    return {name for name in storage.children(spark, f"{root}/landing") if name.startswith("part-")}
+
+
+def stream_layout_break(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file without a column lands while the stream runs: it stops by the file's name, the batch uncommitted, nothing stored of it."""
+    root, model, trips, error = _broken_stream(spark, sf_dir)
+    named = any(name in str(error) for name in _landed(spark, root)) and "passenger_count" in str(error)
+    planned, done = (len([n for n in storage.children(spark, f"{root}/checkpoint/{kind}") if n.isdigit()]) for kind in ("offsets", "commits"))
+    found = _stream_against_batch(spark, root, model, trips.filter("PULocationID % 2 = 0"))
+    return found.select("*", F.lit(bool(error) and named).alias("named"), F.lit(planned - done).alias("uncommitted"))
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file is put right under its name and the stream started again: it ends with every row of all files, once."""
+    root, model, trips, error = _broken_stream(spark, sf_dir)
+    rest, whole = trips.filter("PULocationID % 2 <> 0").coalesce(1), f"{root}/mended"
+    rest.write.parquet(whole)
+    (bad,) = [name for name in _landed(spark, root) if name in str(error)]
+    storage.promote_part(spark, whole, f"{root}/landing/{bad}")
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
+    start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return _stream_against_batch(spark, root, model, trips)
 
 
 _LANDING_KIND = "CASE WHEN event_id % 8 = 0 THEN 'idle' ELSE event_type END"
@@ -198,6 +348,7 @@ QUERIES = {
     "gbt_train_eval": gbt_train_eval,
     "gbt_evaluate": gbt_evaluate,
     "gbt_predict": gbt_predict,
+    "hash_split_share": hash_split_share,
     "gbt_quality": gbt_quality,
     "model_round_trip": model_round_trip,
     "gbt_same_model_any_layout": gbt_same_model_any_layout,
@@ -208,6 +359,10 @@ QUERIES = {
     "stream_intake_score": stream_intake_score,
     "stream_batch_agreement": stream_batch_agreement,
     "stream_catalog": stream_catalog,
+    "stream_layout_break": stream_layout_break,
+    "stream_restart": stream_restart,
+    "runlog_of_batch": runlog_of_batch,
+    "refused_inputs": refused_inputs,
 }
 
 _UNLABELLED_SQL = V.cleaned_sql(labelled=False)
@@ -219,7 +374,32 @@ _KINDS_SQL = V.as_sql("events", {**V.TRIPS, "event_type": "event_type"})
 
 _MONTHS_SQL = V.as_sql("lineitem", V.LINE_TRIPS)
 
+_JUDGED_SQL = "count(*) AS trips, TRUE AS a_fifth_held_out, TRUE AS learned, TRUE AS errors_ordered, TRUE AS shares_ordered"
+
+_VALID_COUNT_SQL = f"count(*) FILTER ({V.VALID_SQL})"
+
+_EVEN_SQL = f"SELECT * FROM ({_MONTHS_SQL}) AS trips WHERE PULocationID % 2 = 0"
+
 ORACLES = {
+    "gbt_train_eval": f"SELECT {_JUDGED_SQL} FROM ({V.cleaned_sql()}) AS cleaned",
+    "gbt_evaluate": f"SELECT {_JUDGED_SQL}, TRUE AS as_computed FROM ({V.cleaned_sql()}) AS cleaned",
+    "gbt_predict": f"""SELECT trip_distance, PULocationID, DOLocationID, passenger_count, TRUE AS prediction, trip_id
+FROM ({V.cleaned_sql(labelled=False, extra=", trip_id")}) AS cleaned""",
+    "hash_split_share": f"""SELECT count(*) AS trips, TRUE AS fair
+FROM (SELECT DISTINCT * FROM ({V.cleaned_sql(_MONTHS_SQL)}) AS cleaned) AS rows""",
+    "stream_layout_break": f"""SELECT count(*) AS streamed, CAST(0 AS BIGINT) AS differing, TRUE AS named, 1 AS uncommitted
+FROM ({V.cleaned_sql(_EVEN_SQL, labelled=False)}) AS cleaned""",
+    "stream_restart": f"""SELECT count(*) AS streamed, CAST(0 AS BIGINT) AS differing
+FROM ({V.cleaned_sql(_MONTHS_SQL, labelled=False)}) AS cleaned""",
+    "runlog_of_batch": f"""SELECT concat('kind=', event_type, '.parquet') AS input, count(*) AS input_rows, {_VALID_COUNT_SQL} AS valid_rows,
+  {_VALID_COUNT_SQL} AS scored_rows, {_VALID_COUNT_SQL} > 0 AS success FROM ({_KINDS_SQL}) AS kinds GROUP BY event_type
+UNION ALL SELECT 'some.csv', count(*), {_VALID_COUNT_SQL}, {_VALID_COUNT_SQL}, {_VALID_COUNT_SQL} > 0
+FROM ({V.trips_sql()}) AS trips WHERE trip_id % 3 = 0
+UNION ALL SELECT 'idle.csv', count(*), 0, 0, FALSE FROM ({V.trips_sql()}) AS trips WHERE passenger_count = 0
+UNION ALL SELECT 'faceless.csv', NULL, 0, 0, FALSE""",
+    "refused_inputs": f"""SELECT c."case", c.refused, c.logged, v.valid_rows
+FROM (VALUES ('absent', 'FileNotFoundError', 0::BIGINT), ('suffix', 'ValueError', 0), ('twice', 'ValueError', 0), ('whole', NULL, 1)) AS c("case", refused, logged),
+  (SELECT count(*) AS valid_rows FROM ({_UNLABELLED_SQL}) AS cleaned) AS v""",
     "gbt_quality": f"""SELECT count(*) AS test_records, TRUE AS learned, TRUE AS rmse_agrees, TRUE AS r2_agrees,
   TRUE AS mae_agrees, TRUE AS shares_ordered
 FROM ({V.cleaned_sql(extra=", trip_id")}) AS cleaned WHERE (trip_id * 7919 + 104729) % 100 >= 80""",
@@ -228,16 +408,17 @@ FROM ({V.cleaned_sql(_MONTHS_SQL, labelled=False)}) AS cleaned""",
     "gbt_same_model_any_layout": f"SELECT count(*) AS trips, CAST(0 AS BIGINT) AS differing, TRUE AS same_bins FROM ({V.cleaned_sql()}) AS cleaned",
     "model_round_trip": f'SELECT count(*) AS trips, count(*) AS "equal" FROM ({V.cleaned_sql()}) AS cleaned',
     "score_one_file": _FLAGGED_SQL,
-    "score_files": f"""SELECT concat('kind=', event_type, '.parquet') AS input,
-  count(*) FILTER ({V.VALID_SQL}) > 0 AS success, 'config_check' AS config, count(*) FILTER ({V.VALID_SQL}) AS "rows"
-FROM ({_KINDS_SQL}) AS kinds GROUP BY event_type
-UNION ALL SELECT 'idle.csv', FALSE, 'config_check', 0
-UNION ALL SELECT 'faceless.csv', FALSE, 'config_check', 0""",
+    "score_files": f"""SELECT concat('kind=', event_type, '.parquet') AS input, {_VALID_COUNT_SQL} > 0 AS success,
+  'config_check' AS config, {_VALID_COUNT_SQL} AS "rows", CAST(0 AS BIGINT) AS differing FROM ({_KINDS_SQL}) AS kinds GROUP BY event_type
+UNION ALL SELECT 'some.csv', {_VALID_COUNT_SQL} > 0, 'config_check', {_VALID_COUNT_SQL}, 0
+FROM ({V.trips_sql()}) AS trips WHERE trip_id % 3 = 0
+UNION ALL SELECT n, FALSE, 'config_check', 0, 0
+FROM (VALUES ('idle.csv'), ('faceless.csv'), ('damaged-0.parquet'), ('damaged-1.parquet')) AS v(n)""",
     "folder_missing_column": f"""SELECT 'whole.parquet' AS input, count(*) > 0 AS success, 'config_check' AS config, count(*) AS "rows"
 FROM ({_UNLABELLED_SQL}) AS cleaned
 UNION ALL SELECT 'mixed.parquet', FALSE, 'config_check', 0""",
     "score_months": f"""SELECT concat('trips=', strftime(tpep_pickup_datetime, '%Y-%m'), '.parquet') AS input,
-  count(*) FILTER ({V.VALID_SQL}) > 0 AS success, 'config_check' AS config, count(*) FILTER ({V.VALID_SQL}) AS "rows"
+  count(*) FILTER ({V.VALID_SQL}) > 0 AS success, 'config_check' AS config, count(*) FILTER ({V.VALID_SQL}) AS "rows", CAST(0 AS BIGINT) AS differing
 FROM ({_MONTHS_SQL}) AS trips GROUP BY 1""",
     "stream_intake_score": _FLAGGED_SQL,
     "stream_catalog": f"""SELECT kind, CASE WHEN count(*) FILTER ({V.VALID_SQL}) > 0 THEN 'complete' ELSE 'no results' END AS status

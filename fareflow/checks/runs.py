@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.checks import views as V
+from fareflow.functions.naming import RunNames, shared_names
 from fareflow.operators.runs import config_stats, load_test_runs, log_rows, run_totals, runs_by_config
-from fareflow.plans.run_analysis import analyse_runs
+from fareflow.plans.run_analysis import analyse_runs, read_analysis
 from fareflow.session import scratch_path
-from fareflow.sources.tables import append_run_log, read_run_log
+from fareflow.sources.run_log import append_run_log, compact_run_log, read_run_log
 
 
 def runlog_load_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,23 +67,34 @@ _RATES = ("success_rate", "throughput_runs_per_hour")
 
 
 def runlog_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored nested record, read back and laid out as one row per configuration and figure."""
+    """The stored analysis, read back and laid out as one row per configuration and figure."""
     root = scratch_path(spark, "analysis")
     append_run_log(V.run_log(spark, sf_dir), f"{root}/log")
     analyse_runs(read_run_log(spark, f"{root}/log"), f"{root}/record")
-    numbers = "map<string,double>"
-    nested = ", ".join(f"{c}: {numbers}" for c in _FIGURES)
-    rates = ", ".join(f"{c} {numbers}" for c in _RATES)
-    schema = f"config_performance struct<{nested}>, {rates}, best_config string, worst_config string"
-    record = spark.read.schema(schema).json(f"{root}/record")
-    maps = {**{c: f"config_performance.{c}" for c in _FIGURES}, **{c: c for c in _RATES}}
-    figures = F.array(
-        *[F.struct(F.lit(name).alias("figure"), F.col(path).alias("by_config")) for name, path in maps.items()]
-    )
-    long = record.select("best_config", "worst_config", F.explode(figures).alias("f"))
-    return long.select(
-        "best_config", "worst_config", "f.figure", F.explode("f.by_config").alias("config", "value")
-    )
+    by_config, totals = read_analysis(spark, f"{root}/record")
+    figures = F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in (*_FIGURES, *_RATES)])
+    long = by_config.select("config", F.explode(figures).alias("f")).select("config", "f.*").filter("value IS NOT NULL")
+    return long.crossJoin(F.broadcast(totals.select("best_config", "worst_config")))
+
+
+def run_names_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name for each line item's key, as for so many inputs: how many there are, and how many are shared."""
+    uri = F.concat(F.lit("file:/in/"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit(".csv")).alias("uri")
+    named = RunNames().named(V.table(spark, sf_dir, "lineitem").select(uri).distinct())
+    shared = F.lit(shared_names(named).count()).alias("shared")
+    spelled = F.count_if(F.col("query_id").rlike("^query_[0-9]{8}_[0-9]{6}_[0-9a-f]{16}$")).alias("spelled")
+    return named.agg(F.count("*").alias("inputs"), spelled).select("inputs", "spelled", shared)
+
+
+def runlog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after appends, a merge, more appends and another merge."""
+    path = scratch_path(spark, "run-log")
+    submitted = _submitted(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(6)))
+    for part in range(6):
+        append_run_log(log_rows(submitted.filter(F.col("part") == part)), path)
+        if part in (2, 4):
+            compact_run_log(spark, path)
+    return read_run_log(spark, path)
 
 
 QUERIES = {
@@ -94,6 +106,8 @@ QUERIES = {
     "runlog_ties": runlog_ties,
     "runlog_append": runlog_append,
     "runlog_analysis": runlog_analysis,
+    "run_names_unique": run_names_unique,
+    "runlog_compacted": runlog_compacted,
 }
 
 _LOG_SQL = V.as_sql("events", V.RUN_LOG)
@@ -123,6 +137,10 @@ def _grouped_sql(columns: dict[str, str]) -> str:
     return f"SELECT config, {listed} FROM ({_LOAD_TESTS_SQL}) AS runs GROUP BY config"
 
 
+_APPENDED_SQL = f"""SELECT "timestamp", query_id, input,
+  CAST(printf('%.2f', duration_seconds / 7) AS DOUBLE) AS duration_seconds, success, config FROM ({_LOG_SQL}) AS log"""
+
+
 ORACLES = {
     "runlog_load_tests": _LOAD_TESTS_SQL,
     "runlog_by_config": _grouped_sql({c: _FIGURES_SQL[c] for c in _FIGURES}),
@@ -137,8 +155,10 @@ ORACLES = {
 FROM ({_LOAD_TESTS_SQL}) AS runs""",
     "runlog_best_worst": f"SELECT {_BEST_COLUMNS_SQL}",
     "runlog_ties": f"SELECT min(config) AS best_config, min(config) AS worst_config FROM ({_LOAD_TESTS_SQL}) AS runs",
-    "runlog_append": f"""SELECT "timestamp", query_id, input,
-  CAST(printf('%.2f', duration_seconds / 7) AS DOUBLE) AS duration_seconds, success, config FROM ({_LOG_SQL}) AS log""",
+    "runlog_append": _APPENDED_SQL,
+    "runlog_compacted": _APPENDED_SQL,
+    "run_names_unique": """SELECT count(*) AS inputs, count(*) AS spelled, CAST(0 AS BIGINT) AS shared
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS inputs""",
     "runlog_analysis": "\nUNION ALL\n".join(
         f"""SELECT {_BEST_COLUMNS_SQL}, '{name}' AS figure, config, CAST(v AS DOUBLE) AS "value"
 FROM ({_grouped_sql({"v": sql})}) AS grouped"""

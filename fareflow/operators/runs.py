@@ -89,13 +89,30 @@ def run_totals(stats: DataFrame) -> DataFrame:
     return stats.agg(*_total_columns())
 
 
+# The stored analysis: a record for each configuration, and one without a label for the whole log.
+BY_CONFIG = ("config", "mean", "std", "min", "max", "count", "success_rate", "throughput_runs_per_hour")
+TOTALS = ("total_runs", "successful_runs", "failed_runs", "start", "end", "best_config", "worst_config")
+ANALYSIS = (
+    "timestamp string, config string, mean double, std double, min double, max double, count long, success_rate double, "
+    "throughput_runs_per_hour double, total_runs long, successful_runs long, failed_runs long, start string, end string, "
+    "best_config string, worst_config string"
+)
+
+
+def analysis_rows(stats: DataFrame) -> DataFrame:
+    """One row for each configuration and one for all; none grows with the number of labels."""
+    now = F.date_format(F.current_timestamp(), S.SECOND_FORMAT).alias("timestamp")
+    rows = runs_by_config(stats).unionByName(run_totals(stats), allowMissingColumns=True)
+    return rows.select(now, *BY_CONFIG, *TOTALS)
+
+
 def _by_config(value: Column) -> Column:
     entries = F.array_sort(F.collect_list(F.struct("config", value.alias("value"))))
     return F.map_from_entries(entries)
 
 
 def analysis_record(stats: DataFrame) -> DataFrame:
-    """The whole analysis as one nested row; it holds one map entry per configuration."""
+    """The whole analysis as one nested row, in the published layout: a map entry per configuration, so for few labels."""
     performance = [
         _by_config(round_scaled(F.col(c), 2)).alias(c) for c in ("mean", "std", "min", "max")
     ]

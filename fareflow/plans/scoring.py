@@ -27,7 +27,8 @@ from fareflow.operators.features import clean_trips
 from fareflow.operators.model import predict
 from fareflow.operators.runs import log_rows
 from fareflow.sources import storage
-from fareflow.sources.tables import append_run_log, append_submission, read_submissions, write_predictions, write_predictions_by_run
+from fareflow.sources.run_log import append_run_log
+from fareflow.sources.tables import append_submission, read_submissions, write_predictions, write_predictions_by_run
 from fareflow.sources.trips import INPUT_URI, Layout, check_inputs, look_up, scan
 
 # Fixed value: the error condition of a file that cannot be read to its end.

@@ -88,15 +88,15 @@ def _head(uri: str, format: str) -> dict:
 
     try:
         store, path = fs.FileSystem.from_uri(uri)
-        with store.open_input_file(path) as file:
-            return (_footer if format == "parquet" else _header)(file)
-    except UnicodeDecodeError:
+        file = store.open_input_file(path)
+    except (OSError, ValueError, NotImplementedError, pa.ArrowException):
         return {"unsure": True}
+    try:
+        with file:
+            return (_footer if format == "parquet" else _header)(file)
     except pa.ArrowInvalid as error:
-        # Only a file that was opened can be damaged.
-        damaged = format == "parquet" and "arquet" in str(error)
-        return {"problem": str(error).splitlines()[0]} if damaged else {"unsure": True}
-    except (OSError, ValueError, NotImplementedError, pa.ArrowException):
+        return {"problem": str(error).splitlines()[0]}
+    except (OSError, ValueError, pa.ArrowException):
         return {"unsure": True}
 
 

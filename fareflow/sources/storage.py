@@ -3,6 +3,7 @@
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -58,6 +59,47 @@ def uri(spark: SparkSession, path: str) -> str:
     return re.sub(r"^file:/+", "file:/", fs.makeQualified(location).toUri().toString())
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    location, fs = _resolve(spark, folder)
+    return [status.getPath().getName() for status in fs.listStatus(location)]
+
+
+def size(spark: SparkSession, path: str) -> int:
+    location, fs = _resolve(spark, path)
+    return fs.getContentSummary(location).getLength()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    location, fs = _resolve(spark, path)
+    stream = fs.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Makes a small file that did not exist, whole or not at all; raises FileExistsError if another was faster."""
+    target, fs = _resolve(spark, path)
+    draft, _ = _resolve(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    never_over = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(draft, target, never_over)
+    except Py4JJavaError as error:
+        fs.delete(draft, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise FileExistsError(path) from error
+        raise
+
+
 def delete(spark: SparkSession, path: str) -> None:
     location, fs = _resolve(spark, path)
     fs.delete(location, True)

@@ -35,7 +35,7 @@ def read_cleaned(spark: SparkSession, path: str, years: Sequence[int] | None = N
     return df.select(*S.CLEANED_COLUMNS)
 
 
-def _csv_reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+def csv_reader(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
     """Our own CSV: the header must match the schema, or the scan refuses the file."""
     return spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
 
@@ -65,7 +65,7 @@ def write_predictions_by_run(df: DataFrame, root: str, format: str = "csv") -> N
 def read_predictions(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
     """Predictions of one run."""
     if format == "csv":
-        return _csv_reader(spark, S.PREDICTIONS).csv(path)
+        return csv_reader(spark, S.PREDICTIONS).csv(path)
     return spark.read.schema(S.PREDICTIONS).format(format).load(path)
 
 
@@ -80,12 +80,6 @@ def write_record(record: DataFrame, path: str) -> None:
     record.write.mode("overwrite").json(path)
 
 
-def append_run_log(rows: DataFrame, path: str) -> None:
-    """Adds one submission's rows, one file in a folder of its own so that submissions may run side by side."""
-    folder = f"{path}/submission-{uuid.uuid4().hex}"
-    rows.select(*S.RUN_LOG.fieldNames()).coalesce(1).write.option("header", "true").csv(folder)
-
-
 def append_submission(manifest: DataFrame, root: str) -> None:
     """Adds rows to the manifest of a result folder, which its readers pass over."""
     manifest.select(*S.SUBMISSIONS.fieldNames()).coalesce(1).write.mode("append").parquet(f"{root}/{S.MANIFEST}/part-{uuid.uuid4().hex}")
@@ -98,11 +92,6 @@ def read_submissions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(S.SUBMISSIONS).option("recursiveFileLookup", "true").parquet(f"{root}/{S.MANIFEST}")
 
 
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log of all submissions; a single CSV file from elsewhere is read as well."""
-    return _csv_reader(spark, S.RUN_LOG).option("recursiveFileLookup", "true").csv(path)
-
-
 def export_predictions(
     spark: SparkSession,
     root: str,

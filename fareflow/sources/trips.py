@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from fareflow import schemas as S
 from fareflow.operators.features import clean_trips, typed_trips
 from fareflow.sources import storage
-from fareflow.sources.heads import input_heads
+from fareflow.sources.heads import file_heads, input_heads
 
 # Paths whose existence is looked up at a time.
 PROBE_THREADS = 32
@@ -132,6 +132,25 @@ def _layout(path: str, format: str, depth: int, found: list[tuple[str, str]], la
     return Layout(format, depth, columns)
 
 
+def check_files(spark: SparkSession, files: DataFrame, labelled: bool) -> None:
+    """Refuses files, of any source, of which one is Parquet and lacks a needed column; a job reads the footers."""
+    needed = S.trip_columns(labelled)
+    rows = files.filter(F.col("file").endswith(".parquet")).select("file", F.lit("parquet").alias("format"))
+    held = F.transform("names", F.lower)
+    missing = F.filter(F.array(*[F.lit(c) for c in needed]), lambda c: ~F.array_contains(held, F.lower(c)) & ~F.lower("file").contains(F.concat(F.lit("/"), F.lower(c), F.lit("="))))
+    heads = file_heads(rows).select("file", "problem", "unsure", missing.alias("missing"))
+    wanting = F.col("problem").isNotNull() | F.col("unsure") | (F.size("missing") > 0)
+    for head in heads.filter(wanting).toLocalIterator():
+        lacking = head.missing
+        if head.problem:
+            raise UnreadableTrips(f"{head.file}: {head.problem}")
+        if head.unsure:
+            held = {name.lower() for name in storage.parquet_columns(spark, head.file)}
+            lacking = [c for c in needed if c.lower() not in held]
+        if lacking:
+            raise UnreadableTrips(f"{head.file}: missing columns {', '.join(lacking)}")
+
+
 def look_up(
     spark: SparkSession, paths: Sequence[str], labelled: bool, format: str | None = None
 ) -> dict[str, tuple[Layout | UnreadableTrips, int | None]]:

@@ -1,8 +1,9 @@
 """Scoring trip files as they arrive.
 
-A file source feeds the same cleaning and scoring as a batch run. The flow is
-append-only and keeps no state: a restart goes on from the checkpoint, and the file
-sink's log keeps every input file's rows exactly once.
+A file source feeds the same cleaning and scoring as a batch run. The flow keeps no state: a
+restart goes on from the checkpoint. Every micro-batch looks its files' heads up before it
+writes a row, and stops the stream uncommitted if one lacks a column; it then
+replaces the run folders of its files, so a batch that is run again leaves every row once.
 """
 
 from pyspark.ml import PipelineModel
@@ -16,7 +17,12 @@ from fareflow.functions.naming import run_name
 from fareflow.operators.features import clean_trips
 from fareflow.operators.model import predict
 from fareflow.sources import storage
-from fareflow.sources.trips import check_folder
+from fareflow.sources.heads import listed_files
+from fareflow.sources.tables import write_predictions_by_run
+from fareflow.sources.trips import check_files
+
+# Column that names the landed file of a row.
+LANDED = "landed_file"
 
 
 def _run_of_file() -> Column:
@@ -43,20 +49,20 @@ def arriving_trips(
 ) -> DataFrame:
     """Unbounded trips, with a `query_id` per file, from a folder of one layout.
 
-    A CSV file with another header, or a Parquet file with another column type, stops the
-    stream. A landed Parquet file that lacks a needed column is refused here, by name; one
-    that lands while the stream runs is refused at its next start, its rows being lost until
-    then. For CSV the schema lists the header's columns in order. The id is made of the file's own
-    address and time, so a restarted stream names it alike.
+    A CSV file with another header, or a Parquet file with another column type or without a
+    needed column, stops the stream by its name: one that has landed is refused here, one that lands later by its
+    batch, none of whose rows is written. For CSV the schema lists the header's columns in order. The id is made
+    of the file's own address and time, so a restarted stream names it alike.
     """
     if format == "parquet" and storage.exists(spark, landing):
-        check_folder(spark, landing, S.trip_columns(labelled=False))
+        check_files(spark, listed_files(spark, [landing]), labelled=False)
     reader = spark.readStream.schema(schema)
     if format == "csv":
         reader = reader.option("header", "true").option("enforceSchema", "false")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.format(format).load(landing).withColumn("query_id", _run_of_file())
+    trips = reader.format(format).load(landing)
+    return trips.withColumns({"query_id": _run_of_file(), LANDED: F.col("_metadata.file_path")})
 
 
 def start_intake(
@@ -71,21 +77,17 @@ def start_intake(
     """Starts scoring `trips` into `root`, a folder per `query_id`.
 
     `once` drains what has landed and stops; otherwise batches start every `interval`.
-    `root` belongs to this stream alone: batch runs write elsewhere. A new checkpoint
-    with the sink log of another stream is refused, for the sink would skip its batches.
+    A folder with the log of a file sink is refused: its readers would not see other files.
     """
     spark = trips.sparkSession
-    if storage.exists(spark, f"{root}/_spark_metadata") and not storage.exists(spark, f"{checkpoint}/commits"):
-        raise ValueError(f"{root} belongs to a stream with another checkpoint")
-    scored = predict(model, clean_trips(trips, labelled=False, keep=["query_id"]))
-    writer = (
-        scored.select(*S.PREDICTION_COLUMNS, "query_id")
-        .writeStream.outputMode("append")
-        .format(format)
-        .partitionBy("query_id")
-        .option("header", "true")
-        .option("checkpointLocation", checkpoint)
-        .option("path", root)
-    )
+    if storage.exists(spark, f"{root}/_spark_metadata"):
+        raise ValueError(f"{root} belongs to a file sink")
+
+    def score_batch(batch: DataFrame, _: int) -> None:
+        check_files(batch.sparkSession, batch.select(F.col(LANDED).alias("file")).distinct(), labelled=False)
+        scored = predict(model, clean_trips(batch, labelled=False, keep=["query_id"]))
+        write_predictions_by_run(scored, root, format)
+
+    writer = trips.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return writer.trigger(**trigger).start()

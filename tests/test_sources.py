@@ -1,5 +1,6 @@
 """Reading trips whose files disagree, and the existence and format checks."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -8,12 +9,11 @@ from pyspark.sql import functions as F
 from fareflow import schemas as S
 from fareflow.plans.preprocess import preprocess_months
 from fareflow.sources import storage
+from fareflow.sources.run_log import append_run_log, compact_run_log, read_run_log
 from fareflow.sources.tables import (
-    append_run_log,
     export_predictions,
     read_cleaned,
     read_predictions,
-    read_run_log,
     write_cleaned,
     write_predictions,
 )
@@ -175,6 +175,123 @@ def test_run_log_appends_with_one_schema(spark, tmp_path):
     assert stored.schema == S.RUN_LOG and stored.collect() == log.collect() * 2
 
 
+def _log(spark, *ids):
+    return spark.createDataFrame([("2026-05-01 10:00:00", f"query_{i}", "a.csv", 1.5, True, "config_A") for i in ids], S.RUN_LOG)
+
+
+def _ids(spark, path):
+    return sorted(int(r.query_id[6:]) for r in read_run_log(spark, path).collect())
+
+
+def test_a_merged_log_reads_the_same_from_fewer_files(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for i in range(12):
+        append_run_log(_log(spark, i), path)
+    assert compact_run_log(spark, path) == 12
+    assert _ids(spark, path) == list(range(12)) and len(read_run_log(spark, path).inputFiles()) == 1
+    for i in range(12, 15):
+        append_run_log(_log(spark, i), path)
+    assert _ids(spark, path) == list(range(15)) and len(read_run_log(spark, path).inputFiles()) == 4
+    assert compact_run_log(spark, path) == 4
+    # What the first merge had read goes with the second.
+    assert len(list((tmp_path / "log").glob("submission-*"))) == 3
+    assert compact_run_log(spark, path) == 0
+    append_run_log(_log(spark, 15), path)
+    assert compact_run_log(spark, path, full_bytes=1) == 0
+    assert compact_run_log(spark, path) == 2
+    assert _ids(spark, path) == list(range(16)) and len(read_run_log(spark, path).inputFiles()) == 1
+
+
+def test_full_folders_are_not_merged_again(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for first in (0, 4):
+        for i in range(first, first + 4):
+            append_run_log(_log(spark, i), path)
+        assert compact_run_log(spark, path, full_bytes=1) == 4
+    assert len(list((tmp_path / "log").glob("_merged-*"))) == 2 and _ids(spark, path) == list(range(8))
+
+
+def test_of_two_merges_one_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    for i in range(4):
+        append_run_log(_log(spark, i), path)
+    create = storage.create_text
+
+    def slower(spark, target, text):
+        monkeypatch.setattr(storage, "create_text", create)
+        append_run_log(_log(spark, 4), path)
+        assert compact_run_log(spark, path) == 5
+        create(spark, target, text)
+
+    monkeypatch.setattr(storage, "create_text", slower)
+    with pytest.raises(FileExistsError):
+        compact_run_log(spark, path)
+    assert _ids(spark, path) == list(range(5)) and len(list((tmp_path / "log").glob("_merged-*"))) == 1
+
+
+def test_readers_beside_appends_and_merges(spark, tmp_path):
+    """A reader meets each row once, and none is missing that was there when it began."""
+    path = str(tmp_path / "log")
+    append_run_log(_log(spark, 0), path)
+    done, seen = [1], []
+
+    def read():
+        while done[0] < 12:
+            least = done[0]
+            seen.append((least, _ids(spark, path)))
+
+    with ThreadPoolExecutor(1) as pool:
+        reader = pool.submit(read)
+        for i in range(1, 12):
+            append_run_log(_log(spark, i), path)
+            if i % 3 == 0:
+                compact_run_log(spark, path)
+            done[0] = i + 1
+        reader.result()
+    assert len(seen) > 3
+    for least, ids in seen:
+        assert ids == list(range(len(ids))) and len(ids) >= least
+
+
+def test_an_export_that_cannot_be_put_up_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    rows = spark.range(10).selectExpr("id / 10 AS trip_distance", "id AS PULocationID", "id AS DOLocationID", "1.0D AS passenger_count", "id * 2.0D AS prediction")
+    root, one = str(tmp_path / "out"), tmp_path / "one"
+    write_predictions(rows, f"{root}/query_id=query_x")
+    for single in (True, False):
+        name = one / str(single)
+        export_predictions(spark, root, "query_x", str(name), single_file=single)
+        resolve = storage._resolve
+
+        def failing(spark, path):
+            location, fs = resolve(spark, path)
+            return location, _NoRename(fs) if "part-" in path else fs
+
+        monkeypatch.setattr(storage, "_resolve", failing)
+        with pytest.raises(OSError, match="cannot write"):
+            export_predictions(spark, root, "query_x", str(name), single_file=single)
+        monkeypatch.setattr(storage, "_resolve", resolve)
+        assert read_predictions(spark, str(name / "query_x_results.csv")).count() == 10
+        assert not list(name.glob("*.old-*"))
+    folder = one / "folder" / "query_x_results.csv"
+    folder.mkdir(parents=True)
+    with pytest.raises(IsADirectoryError):
+        export_predictions(spark, root, "query_x", str(one / "folder"))
+    assert folder.is_dir()
+
+
+class _NoRename:
+    """A file system that refuses to put up what was written."""
+
+    def __init__(self, fs):
+        self._fs = fs
+
+    def __getattr__(self, name):
+        return getattr(self._fs, name)
+
+    def rename(self, source, target):
+        return "part-" not in source.getName() and self._fs.rename(source, target)
+
+
 def test_run_log_written_by_other_tools(spark, tmp_path):
     """`True`/`False` as Python writes them."""
     path = _csv(tmp_path, "log.csv", "timestamp,query_id,input,duration_seconds,success,config",
