@@ -99,7 +99,8 @@ def _nearest(queries: _Tile, others: _Tile, k: int) -> Iterator[tuple[int, list[
         may = (about + error >= bar[:, None]) & ~own
         for at, keep in enumerate(may):
             near = np.flatnonzero(keep)
-            score = (others.vectors[near] * queries.vectors[low + at]).sum(axis=1)
+            # Summed in the order of the components, so the last digit is the same everywhere.
+            score = np.add.accumulate(others.vectors[near] * queries.vectors[low + at], axis=1)[:, -1]
             first = np.lexsort((others.ids[near], -score))[:k]
             found = zip((-score[first]).tolist(), others.ids[near[first]].tolist(), strict=True)
             yield int(queries.ids[low + at]), [{"down": d, "vec_id": v} for d, v in found]
@@ -172,7 +173,7 @@ ORACLES = {
                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
                 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]), lambda a, b: a + b) AS score
             FROM good q JOIN good c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
