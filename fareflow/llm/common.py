@@ -134,6 +134,21 @@ def numbered(df: DataFrame, order: Sequence[Column], place: str, name: str) -> D
     return rows.join(counts, "_part").withColumn(place, F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
 
 
+def merged_components(groups: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """`groups` (node, component) as they are after more edges (a, b), whose ends may be new nodes.
+
+    Only the new edges are contracted, over the names of the groups they join; the groups themselves
+    are read once more.
+    """
+    for end in ("a", "b"):
+        named = groups.select(F.col("node").alias(end), "component")
+        edges = edges.join(named, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    moved = connected_components(edges, name)
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    renamed = groups.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return stored(renamed.unionByName(moved.join(groups, "node", "left_anti")), f"{name}-groups")
+
+
 def blocks_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 

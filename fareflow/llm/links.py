@@ -17,14 +17,13 @@ So the groups are those of all candidate pairs that pass both comparisons.
 """
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import connected_components, map_batches, stored
+from fareflow.llm.common import connected_components, map_batches, merged_components, stored
 
 # Nodes of a block: two of them, with what they hold, are what a task has at a time.
 BLOCK = 256
@@ -204,7 +203,6 @@ def linked_groups(
     `members` (bucket, node) without repeats; `prints` (node, print: bytes of one length);
     `contents` (node, content: bytes) has at least the members.
     """
-    links: list[DataFrame] = []
     groups = None
 
     def joined(new: DataFrame) -> bool:
@@ -212,8 +210,7 @@ def linked_groups(
         new = stored(new, f"{name}-links")
         if new.isEmpty():
             return False
-        links.append(new)
-        groups = connected_components(reduce(DataFrame.unionByName, links), name)
+        groups = connected_components(new, name) if groups is None else merged_components(groups, new, name)
         return True
 
     above = 1
