@@ -41,7 +41,7 @@ _CHUNK = 2048
 # Bits of a bucket's number below its band's.
 _BUCKET_BITS = 58
 
-NODE = "doc_id long, n_shingles long, high long, low long, signature binary"
+NODE = "doc_id long, digest long, n_shingles long, high long, low long, signature binary"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -135,8 +135,8 @@ def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
             signatures.append(signature(hashes).tobytes() if len(hashes) else None)
     wide = [pa.array(np.array(high, np.uint64).view(np.int64)), pa.array(low, pa.int64())]
     return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(counts, pa.int64()), *wide, pa.array(signatures, pa.binary())],
-        names=["doc_id", "n_shingles", "high", "low", "signature"],
+        [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), *wide, pa.array(signatures, pa.binary())],
+        names=["doc_id", "digest", "n_shingles", "high", "low", "signature"],
     )
 
 
@@ -166,42 +166,47 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept) for each row of `docs`.
+    """(key, n_shingles, component_id, kept, text_digest, group) for each row of `docs`.
 
     A null text, or one without words, has no shingles and is its own component. Rows that
     repeat key and text repeat in the result; texts that share a key are told apart by
     their sets. A row without a key is linked with nothing: component null, kept. Copies are joined by
     their set's digest, so a group of any size costs one node. Other columns play no
-    part. The key is a whole number.
+    part. The key is a whole number. `text_digest` is the xxhash64 of the text; `group` is null
+    for what is linked with nothing by rule, else the same for all of a group and no other.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.withColumn("digest", F.xxhash64("text"))
     signed = stored(map_batches(docs, _signed, NODE), "signed")
     nodes = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # A node is named by its set's digest, for several sets may have the same smallest key.
-    nodes = nodes.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.first("signature").alias("signature"))
+    where = F.min(F.struct("doc_id", "digest")).alias("where")
+    nodes = nodes.groupBy("high", "low").agg(where, F.first("signature").alias("signature")).withColumn("least", F.col("where.doc_id"))
     nodes = stored(nodes.withColumn("node", F.col("low")), "nodes")
     prints = nodes.select("node", F.col("signature").alias("print"))
     buckets = map_batches(nodes.select("node", "signature"), _banded, "bucket long, node long")
     members = kept_buckets(buckets, "near")
-    wanted = members.select("node").distinct().join(nodes.select("node", "least"), "node")
-    texts = docs.join(wanted, docs.doc_id == wanted.least).select("node", "text", F.col("node").alias("low"))
+    wanted = members.select("node").distinct().join(nodes.select("node", "where.*"), "node")
+    # By the text as well: of the texts of one key each is wanted for its own node alone.
+    texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "text", F.col("node").alias("low"))
     sets = stored(texts.mapInArrow(_set_batches, "node long, content binary").dropDuplicates(["node"]), "sets")
     groups = linked_groups(members, prints, sets, compare, similar, "near", first_shared)
     linked = nodes.select("node", "least").join(groups, "node")
     smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
-    linked = linked.join(smallest, "component").select("node", "smallest")
-    named = nodes.join(linked, "node", "left").select("high", "low", F.coalesce("smallest", "least").alias("component"))
-    found = signed.select("doc_id", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
+    linked = linked.join(smallest, "component").select("node", "smallest", F.col("component").alias("group"))
+    names = [F.coalesce("smallest", "least").alias("component"), F.coalesce("group", "node").alias("group")]
+    named = nodes.join(linked, "node", "left").select("high", "low", *names)
+    found = signed.select("doc_id", "digest", "n_shingles", "high", "low").join(named, ["high", "low"], "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
-    found = found.select("doc_id", "n_shingles", component.alias("component_id"))
-    return found.select(
-        F.col("doc_id").alias(key), "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    group = F.when(~alone, F.col("group")).alias("group")
+    found = found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("digest").alias("text_digest"), group)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return found.select(F.col("doc_id").alias(key), "n_shingles", "component_id", kept, "text_digest", "group")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_digest", "group")
 
 
 QUERIES = {"op4_near_dedup": op4_near_dedup}

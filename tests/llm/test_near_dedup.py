@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from fareflow.llm import near_dedup
 from fareflow.llm.near_dedup import MISS, VALUES, compare, least_equal, near_duplicates, shingles, signature
 
 
@@ -99,3 +100,31 @@ def test_texts_with_the_same_smallest_key_keep_their_own_links(spark):
         one, other = text(100), text(100)
         rows = [(1, one), (1, other), (2, one + " tail"), (3, other + " tail"), (4, text(100))]
         assert found(spark, rows) == {1: (96, 1), 2: (97, 1), 3: (97, 1), 4: (96, 4)}
+
+
+def test_many_texts_of_one_key_are_read_once_each(spark, monkeypatch):
+    """The join that fetches the texts makes one row for each, not one for each pair."""
+    r = random.Random(11)
+    text = lambda n: " ".join(f"w{r.randrange(90_000)}" for _ in range(n))
+    pairs = [text(40) for _ in range(500)]
+    rows = [(1, t) for t in pairs] + [(1, f"{t} tail") for t in pairs]
+    rows_read = spark.sparkContext.accumulator(0)
+    sets = near_dedup._set_batches
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                rows_read.add(batch.num_rows)
+                yield batch
+
+        return sets(seen())
+
+    monkeypatch.setattr(near_dedup, "_set_batches", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = near_duplicates(docs).collect()
+    assert rows_read.value == 1000
+    groups = {}
+    for row in result:
+        groups.setdefault(row.group, []).append(row.text_digest)
+    assert len(groups) == 500 and all(len(set(g)) == 2 for g in groups.values())
+    assert all(row.component_id == 1 and row.kept for row in result)
