@@ -37,10 +37,13 @@ def by_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def by_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; a repeated doc_id stays if one of its texts does."""
-    kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    found = docs.select(*COLUMNS)
-    return found.join(kept, "doc_id", "left_semi").unionByName(found.filter("doc_id IS NULL")).select(*COLUMNS)
+    """One text of each group of near-duplicates, also of texts that share a doc_id: that of the smallest doc_id, then digest."""
+    found = near_duplicates(docs).filter("doc_id IS NOT NULL")
+    best = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("doc_id", "text_digest")).alias("best"))
+    kept = best.select("best.*").unionByName(found.filter("group IS NULL").select("doc_id", "text_digest").distinct())
+    docs = docs.select(*COLUMNS, F.xxhash64("text").alias("text_digest"))
+    stay = docs.join(kept, ["doc_id", "text_digest"], "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+    return stay.select(*COLUMNS)
 
 
 def by_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
