@@ -51,3 +51,16 @@ def test_the_benchmark_stage_judges_missing_and_repeated_ids_by_text(spark, tmp_
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA)
     left = corpus_pipeline.by_benchmark(spark, docs, str(tmp_path)).collect()
     assert sorted(((d.doc_id, d.text) for d in left), key=str) == sorted([(None, clean), (1, clean), (3, None)], key=str)
+
+
+def test_one_text_of_a_group_stays_whatever_its_id(spark, tmp_path):
+    r = random.Random(8)
+    text = lambda n: " ".join(f"w{r.randrange(5000)}" for _ in range(n))
+    one, two, three = text(60), text(60), text(60)
+    rows = [(1, one), (1, two), (1, f"{two} tail"), (2, f"{one} tail"), (2, three), (2, three), (None, one), (3, ""), (3, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA)
+    left = corpus_pipeline.by_copy(spark, docs, str(tmp_path)).collect()
+    texts = [(d.doc_id, d.text) for d in left]
+    assert (1, one) in texts and texts.count((2, three)) == 2 and (None, one) in texts
+    assert ((1, two) in texts) != ((1, f"{two} tail") in texts)
+    assert {(3, ""), (3, None)} <= set(texts) and len(texts) == 7
