@@ -20,7 +20,7 @@ RUNS = [
 @pytest.fixture(scope="module")
 def log(spark):
     rows = [
-        (f"2026-04-17 {i:02d}:39:18", f"query_{i}", "a.parquet", seconds, success, config)
+        (f"2031-05-06 {i:02d}:07:08", f"query_{i}", "a.parquet", seconds, success, config)
         for i, (config, seconds, success) in enumerate(RUNS)
     ]
     return spark.createDataFrame(rows, S.RUN_LOG)
@@ -48,7 +48,7 @@ def test_by_config(log, expected):
 def test_totals_and_ties(log):
     row = run_totals(config_stats(log)).first()
     assert (row.total_runs, row.successful_runs, row.failed_runs) == (8, 6, 2)
-    assert (row.start, row.end) == ("2026-04-17 00:39:18", "2026-04-17 07:39:18")
+    assert (row.start, row.end) == ("2031-05-06 00:07:08", "2031-05-06 07:07:08")
     assert (row.best_config, row.worst_config) == ("config_fast", "config_slow")
 
 

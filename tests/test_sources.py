@@ -167,7 +167,7 @@ def test_by_month_layout_prunes_and_keeps_every_row(spark, tmp_path):
 
 
 def test_run_log_appends_with_one_schema(spark, tmp_path):
-    row = [("2026-04-17 16:39:18", "query_1", "a.parquet", 103.59, True, "config_A")]
+    row = [("2031-05-06 07:08:09", "query_1", "a.parquet", 12.25, True, "config_A")]
     log = spark.createDataFrame(row, S.RUN_LOG)
     for _ in range(2):
         append_run_log(log, str(tmp_path / "log"))
@@ -295,7 +295,7 @@ class _NoRename:
 def test_run_log_written_by_other_tools(spark, tmp_path):
     """`True`/`False` as Python writes them."""
     path = _csv(tmp_path, "log.csv", "timestamp,query_id,input,duration_seconds,success,config",
-                "2026-04-17 16:39:18,query_1,a.parquet,103.59,True,config_A", "2026-04-17 16:41:18,query_2,b.csv,9.5,False,default")
+                "2031-05-06 07:08:09,query_1,a.parquet,12.25,True,config_A", "2031-05-06 07:10:11,query_2,b.csv,9.5,False,default")
     assert [r.success for r in read_run_log(spark, path).collect()] == [True, False]
 
 
