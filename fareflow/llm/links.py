@@ -32,8 +32,11 @@ BLOCK = 256
 Compare = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 # (bucket, fingerprints, pairs as two index arrays) -> which are not candidates in an earlier bucket too
 First = Callable[[int, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
-# Contents of two nodes -> whether they are linked
-Exact = Callable[[bytes, bytes], bool]
+# Contents of the two nodes of each pair -> whether they are linked
+Exact = Callable[[list[bytes], list[bytes]], np.ndarray]
+
+# Pairs confirmed together; those whose groups were joined by an earlier lot are passed over.
+TOGETHER = 512
 
 PAIRS = "a long, b long"
 
@@ -116,12 +119,15 @@ def _across(compare: Compare, first: First | None, exact: Exact, batches: Iterat
             i, j = i[mine], j[mine]
         near, score = compare(prints, i, j)
         i, j, score = i[near], j[near], score[near]
-        forest = _Forest()
-        for at in np.argsort(-score, kind="stable"):
-            x, y = i[at], j[at]
-            if forest.root(groups[x]) != forest.root(groups[y]) and exact(contents[x], contents[y]):
-                forest.join(groups[x], groups[y])
-                yield nodes[x], nodes[y]
+        forest, order = _Forest(), np.argsort(-score, kind="stable")
+        for start in range(0, len(order), TOGETHER):
+            lot = [(i[at], j[at]) for at in order[start : start + TOGETHER]]
+            lot = [(x, y) for x, y in lot if forest.root(groups[x]) != forest.root(groups[y])]
+            linked = exact([contents[x] for x, _ in lot], [contents[y] for _, y in lot])
+            for (x, y), near in zip(lot, linked, strict=True):
+                if near and forest.root(groups[x]) != forest.root(groups[y]):
+                    forest.join(groups[x], groups[y])
+                    yield nodes[x], nodes[y]
 
 
 def _grouped(members: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -153,8 +159,11 @@ def _confirmed(pairs: DataFrame, contents: DataFrame, exact: Exact) -> DataFrame
         pairs = pairs.join(contents.select(F.col("node").alias(end), F.col("content").alias(f"content_{end}")), end)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        linked = [exact(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-        return batch.select(["a", "b"]).filter(pa.array(linked))
+        linked = [np.empty(0, bool)]
+        for low in range(0, batch.num_rows, 4 * TOGETHER):
+            part = batch.slice(low, 4 * TOGETHER)
+            linked.append(exact(part.column(2).to_pylist(), part.column(3).to_pylist()))
+        return batch.select(["a", "b"]).filter(pa.array(np.concatenate(linked)))
 
     return map_batches(pairs.select("a", "b", "content_a", "content_b"), work, PAIRS)
 

@@ -119,6 +119,10 @@ def similar(left: bytes, right: bytes) -> bool:
     return whole * both >= least * (len(a) + len(b) - both)
 
 
+def all_similar(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(similar, left, right), bool, len(left))
+
+
 def _low(set_bytes: bytes) -> int:
     digest = xxhash.xxh3_64_intdigest(set_bytes)
     return digest - (digest >> 63 << 64)
@@ -190,7 +194,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # By the text as well: of the texts of one key each is wanted for its own node alone.
     texts = docs.join(wanted, ["doc_id", "digest"]).select("node", "text", F.col("node").alias("low"))
     sets = stored(texts.mapInArrow(_set_batches, "node long, content binary").dropDuplicates(["node"]), "sets")
-    groups = linked_groups(members, prints, sets, compare, similar, "near", first_shared)
+    groups = linked_groups(members, prints, sets, compare, all_similar, "near", first_shared)
     linked = nodes.select("node", "least").join(groups, "node")
     smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
     linked = linked.join(smallest, "component").select("node", "smallest", F.col("component").alias("group"))
