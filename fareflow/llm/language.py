@@ -6,12 +6,12 @@ the driver, by backpropagation through time, to a bounded sample; every document
 whole. Prediction is map-only.
 """
 
-import re
 from collections.abc import Iterator, Sequence
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,18 +20,17 @@ from fareflow.llm.common import fold, map_batches, sent, table, text_chunks
 # The sample: about so many documents of each language, chosen by a hash of the key, and
 # one stretch of so many characters from each.
 SAMPLE = 800
-SAMPLE_CHARS = 96
+SAMPLE_CHARS = 64
 
 HIDDEN = 6
 # Bytes that the network sees at once; a text's windows don't overlap.
 WINDOW = 128
-TRAIN_WINDOW = 64
 EPOCHS = 25
 BATCH = 256
 RATE = 0.02
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 # Windows that are worked on together, so that one step's arrays stay in the cache.
 _TOGETHER = 4096
 
@@ -137,10 +136,11 @@ class Network:
     def fit(self, texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = 11) -> "Network":
         """Adam over shuffled batches, with a falling rate."""
         rng = np.random.default_rng(seed)
-        data = np.zeros((len(texts), TRAIN_WINDOW), np.uint8)
+        longest = max(map(len, texts))
+        data = np.zeros((len(texts), longest), np.uint8)
         for row, text in zip(data, texts, strict=True):
-            row[: len(text[:TRAIN_WINDOW])] = np.frombuffer(text[:TRAIN_WINDOW], np.uint8)
-        mask = np.arange(TRAIN_WINDOW) < np.array([len(t) for t in texts])[:, None]
+            row[: len(text)] = np.frombuffer(text, np.uint8)
+        mask = np.arange(longest) < np.array([len(t) for t in texts])[:, None]
         label = np.array(labels)
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in self._parameters()]
         updates, done = epochs * -(-len(texts) // BATCH), 0
@@ -220,16 +220,22 @@ class Network:
         return found
 
 
+def highest_hash(size: int, rows: int) -> int:
+    """The signed 64-bit hash up to which about `size` of so many rows lie."""
+    return min(2**63 - 1, int(min(1.0, size / rows) * 2**64) - 2**63)
+
+
 def sample(docs: DataFrame, key: str, text: str, lang: str, size: int = SAMPLE) -> list[tuple[str, str]]:
     """(language, stretch): about `size` rows of every language, by a hash of the key, bounded by the two parameters."""
     rows = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
     counts = {r[lang]: r["count"] for r in rows.groupBy(lang).count().collect()}
     if not counts:
         return []
-    share = F.coalesce(*[F.when(F.col(lang) == name, F.lit(int(1e6 * min(1.0, size / n)))) for name, n in counts.items()])
+    # The hash is taken from all of its range, so a language of any size has its share.
+    bar = F.coalesce(*[F.when(F.col(lang) == name, F.lit(highest_hash(size, n))) for name, n in counts.items()])
     digest = F.xxhash64(key, text)
     start = F.pmod(F.shiftrightunsigned(digest, 20), F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    picked = rows.filter(F.pmod(digest, F.lit(1_000_000)) < share)
+    picked = rows.filter(digest <= bar)
     picked = picked.select(F.col(lang).alias("lang"), F.substring(F.col(text), start, F.lit(SAMPLE_CHARS)).alias("text"))
     return sorted((r.lang, r.text) for r in picked.collect() if has_letter(r.text))
 

@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fareflow.llm import language
-from fareflow.llm.language import Network, fit_languages, identify
+from fareflow.llm.language import Network, fit_languages, has_letter, highest_hash, identify
 
 
 def test_gradients_are_those_of_the_loss():
@@ -97,3 +97,14 @@ def test_without_labels_all_is_undetermined(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert fit_languages(docs) is None
     assert [(r.lang_pred, r.score) for r in identify(docs, None).collect()] == [("und", 0.0)]
+
+
+def test_every_language_has_its_share_of_hashes():
+    for rows in (1, 799, 800, 801, 10**6, 10**9, 10**12, 10**15):
+        share = (highest_hash(800, rows) + 2**63) / 2**64
+        assert abs(share * rows - min(800, rows)) < 1e-3 * 800
+
+
+def test_only_letters_are_letters():
+    assert all(map(has_letter, ("a", "1é", "丁", "б", "ª")))
+    assert not any(map(has_letter, (None, "", "12 34", "²½①Ⅷ", "_-×")))
