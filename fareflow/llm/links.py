@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import connected_components, map_batches, merged_components, stored
+from fareflow.llm.common import connected_components, give_back, map_batches, merged_components, stored
 
 # Nodes of a block: two of them, with what they hold, are what a task has at a time.
 BLOCK = 256
@@ -68,7 +68,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndar
 
 
 def _gathered(rows: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
-    """Pairs with the larger node first, in batches."""
+    """Pairs with the larger node first, in batches; the last thing a task does."""
     held: list[tuple[int, int]] = []
 
     def batch() -> pa.RecordBatch:
@@ -82,6 +82,7 @@ def _gathered(rows: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
             yield batch()
     if held:
         yield batch()
+    give_back()
 
 
 def _leaders(compare: Compare, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
