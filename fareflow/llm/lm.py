@@ -1,12 +1,14 @@
 """Language-model scores of texts by a hashed maximum-entropy model.
 
 The probability of a word is that of its class, given the words before it, times that of
-the word in its class. Classes come from the words themselves: the most frequent words
-have their own, the others share one by their last two bytes. The first factor is a
-softmax over the classes, whose features (the last word, the one before, pairs of their
-classes, skips) are hashed into rows of a weight matrix of fixed size. Tasks descend
-gradients on their own documents; their matrices are averaged and sent out again. The
-second factor is a softmax with one weight for each word, the logarithm of its count.
+its member of the class, given those words and the class, times that of the word in its
+member. All of it comes from the words themselves: the most frequent words are classes of
+their own, the others share one by their last two bytes; in a class the most frequent
+words are members of their own, the others share one by their first two bytes. The first
+two factors are softmaxes whose features (the last word, the one before, pairs of their
+classes, skips; in a class, each of them with the class) are hashed into rows of weight
+matrices of fixed size. Tasks descend gradients on their own documents; their matrices are
+summed as a tree, averaged and sent out again. In a shared member, words stand by their counts.
 
 Counts and descent are over all training documents. A list of the most frequent words, of bounded
 length, goes to every task; the others' counts are joined by word.
@@ -14,6 +16,7 @@ length, goes to every task; the others' counts are joined by word.
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
@@ -31,23 +34,27 @@ END = b" "
 CLASSES = 64
 # Words with a class of their own, of which the text's end is one.
 OWN = 16
-# Rows of the weight matrix, a power of two up to 65,536: 4 MB.
+# Members of a class, of which the first so many are single words.
+MEMBERS, NAMED = 32, 16
+# Rows of hashed features in each weight matrix, a power of two up to 32,768: 4 and 2 MB.
 ROWS = 1 << 14
-FEATURES = 6
+FEATURES, INNER = 6, 4
 # The most frequent words, whose counts every task has; some 15 MB there.
 FREQUENT = 100_000
 
 # Rounds in which every training document is descended on.
-PASSES = 2
+PASSES = 1
 DOCS_PER_TASK = 10_000
-RATE = 0.15
+RATE = 0.2
+# What the squares of a row begin with, so that rows met seldom take small steps.
+FIRST_SQUARE = 1.0
 LIMIT = 60.0
 # A row met more often in a batch is summed on its own beyond so many times.
 SINGLY = 24
-BATCH = 2048
-# Rows of a matrix that are averaged together, and groups in which tasks are averaged first.
-_SLAB, _SLOTS = 512, 16
-_SALT = (np.arange(1, FEATURES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+BATCH = 4096
+# Rows of a matrix that are summed together, and how many tasks' sums meet at a time.
+_SLAB, _FAN = 512, 16
+_SALT = (np.arange(1, FEATURES + INNER + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def class_of(word: bytes, own: dict[bytes, int]) -> int:
@@ -57,34 +64,71 @@ def class_of(word: bytes, own: dict[bytes, int]) -> int:
     return OWN + xxhash.xxh3_64_intdigest(word[-2:]) % (CLASSES - OWN)
 
 
+def cell_of(word: bytes, own: dict[bytes, int], named: dict[bytes, int]) -> int:
+    """Class and member, by the word alone, as one number."""
+    kind = class_of(word, own)
+    if kind < OWN:
+        return kind * MEMBERS
+    member = named.get(word)
+    return kind * MEMBERS + (NAMED + xxhash.xxh3_64_intdigest(word[:2]) % (MEMBERS - NAMED) if member is None else member)
+
+
 class Vocabulary:
-    """The frequent words' numbers, hashes, classes and counts, most frequent first."""
+    """The frequent words' numbers, hashes, cells and counts, most frequent first."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], total: int, distinct: int):
-        named = [w for w, _ in frequent if w != END]
-        self.own = {w: k for k, w in enumerate([END, *named[: OWN - 1]])}
+        words = [w for w, _ in frequent if w != END]
+        self.own = {w: k for k, w in enumerate([END, *words[: OWN - 1]])}
+        self.named: dict[bytes, int] = {}
+        found = np.zeros(CLASSES, np.int64)
+        for word in words[OWN - 1 :]:
+            kind = class_of(word, self.own)
+            if found[kind] < NAMED:
+                self.named[word] = int(found[kind])
+                found[kind] += 1
         self.number = {w: k for k, (w, _) in enumerate(frequent)}
         self.hash = np.array([xxhash.xxh3_64_intdigest(w) for w, _ in frequent], np.uint64)
-        self.kind = np.array([class_of(w, self.own) for w, _ in frequent], np.int64)
+        self.cell = np.array([cell_of(w, self.own, self.named) for w, _ in frequent], np.int64)
         self.count = np.array([c for _, c in frequent], np.float64)
         self.total, self.distinct = total, distinct
-        self.class_total = np.zeros(CLASSES)
-        self.class_distinct = np.zeros(CLASSES)
+        self.cell_total = np.zeros(CLASSES * MEMBERS)
+        self.cell_distinct = np.zeros(CLASSES * MEMBERS)
         self._by_end: dict[bytes, int] = {}
+        self._by_start: dict[bytes, int] = {}
 
-    def class_of(self, word: bytes) -> int:
-        """That of a word that is not frequent; there are 65,792 ends of words at most."""
-        end = word[-2:]
+    def cell_of(self, word: bytes) -> int:
+        """That of a word that is not frequent; there are 65,792 ends and starts of words at most."""
+        end, start = word[-2:], word[:2]
         if (kind := self._by_end.get(end)) is None:
-            kind = self._by_end[end] = class_of(word, self.own)
-        return kind
+            kind = self._by_end[end] = OWN + xxhash.xxh3_64_intdigest(end) % (CLASSES - OWN)
+        if (member := self._by_start.get(start)) is None:
+            member = self._by_start[start] = NAMED + xxhash.xxh3_64_intdigest(start) % (MEMBERS - NAMED)
+        return kind * MEMBERS + member
+
+    def room(self) -> np.ndarray:
+        """What the counts of a member's words, and one for each, add up to, with one for all words not seen."""
+        return self.cell_total + self.cell_distinct + 1
+
+    def starting_weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the two matrices: at first only the features that every token has weigh, the classes' and members' shares."""
+        outer = np.zeros((ROWS, CLASSES), np.float32)
+        by_class = self.cell_total.reshape(CLASSES, MEMBERS).sum(axis=1)
+        outer[Tokens(self, [[END]]).features()[0, 0]] = np.log((by_class + 1) / (self.total + CLASSES))
+        inner = np.zeros((ROWS + CLASSES, MEMBERS), np.float32)
+        share = self.room().reshape(CLASSES, MEMBERS)
+        # Nothing unseen is in a member for a single word; one that no word has is all but ruled out.
+        share[:, :NAMED] -= 1
+        share = np.log(np.maximum(share, 1e-9))
+        inner[ROWS:] = share - share.max(axis=1, keepdims=True)
+        return outer, inner
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 1) / (self.total + 1 * (self.distinct + 1)))
 
-    def inside(self, count: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """log10 probability of words in their classes; a class keeps one count for all words not seen."""
-        return np.log10((count + 1) / (self.class_total[kind] + self.class_distinct[kind] + 1))
+    def inside(self, count: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """log10 probability of words in their members; a shared one keeps one count for all words not seen."""
+        single = (cell < OWN * MEMBERS) | (cell % MEMBERS < NAMED)
+        return np.where(single, 0.0, np.log10((count + 1) / self.room()[cell]))
 
     def read(self, texts: list[str]) -> "Tokens":
         found = [words(t) for t in texts]
@@ -104,15 +148,17 @@ class Tokens:
         self.rare = np.flatnonzero(self.number < 0)
         self.rare_words = [flat[k] for k in self.rare.tolist()]
         if len(vocabulary.hash):
-            self.hash, self.kind = vocabulary.hash[self.number], vocabulary.kind[self.number]
+            self.hash, self.cell = vocabulary.hash[self.number], vocabulary.cell[self.number]
         else:
-            self.hash, self.kind = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+            self.hash, self.cell = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.hash[self.rare] = np.fromiter(map(xxhash.xxh3_64_intdigest, self.rare_words), np.uint64, len(self.rare))
-        self.kind[self.rare] = [vocabulary.class_of(w) for w in self.rare_words]
+        self.cell[self.rare] = [vocabulary.cell_of(w) for w in self.rare_words]
+        self.kind, self.member = np.divmod(self.cell, MEMBERS)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def features(self) -> np.ndarray:
-        """(FEATURES, tokens) rows of the weight matrix; before a text there are ends."""
+    @cached_property
+    def before(self) -> tuple[np.ndarray, ...]:
+        """The last two words' hashes and the last three's classes of each token; before a text there are ends."""
         starts = [self.starts + k for k in range(3)]
 
         def back(values: np.ndarray, steps: int, filler) -> np.ndarray:
@@ -124,22 +170,37 @@ class Tokens:
             return moved
 
         end = np.uint64(xxhash.xxh3_64_intdigest(END))
-        last, before = (back(self.hash, k, end) for k in (1, 2))
         kinds = self.kind.astype(np.uint64)
-        k1, k2, k3 = (back(kinds, k, np.uint64(0)) for k in (1, 2, 3))
+        return *(back(self.hash, k, end) for k in (1, 2)), *(back(kinds, k, np.uint64(0)) for k in (1, 2, 3))
+
+    def features(self) -> np.ndarray:
+        """(FEATURES, tokens) rows of the classes' weight matrix."""
+        last, before, k1, k2, k3 = self.before
         many = np.uint64(CLASSES)
-        values = (np.zeros_like(last), last, before, k1 * many + k2, k2 * many + k3, last * np.uint64(31) + k2)
-        rows = np.empty((FEATURES, len(last)), np.int64)
-        for row, value, salt in zip(rows, values, _SALT, strict=True):
-            value = (value ^ salt) * salt
-            value ^= value >> np.uint64(31)
-            value *= np.uint64(0xBF58476D1CE4E5B9)
-            row[:] = value >> np.uint64(65 - ROWS.bit_length())
-        return rows
+        return _rows((np.zeros_like(last), last, before, k1 * many + k2, k2 * many + k3, last * np.uint64(31) + k2), _SALT)
+
+    def inner(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which tokens' classes have several members, and the (INNER, those) rows of the members' weight matrix."""
+        at = np.flatnonzero(self.kind >= OWN)
+        last, before, k1, k2, _ = (x[at] for x in self.before)
+        kind = self.kind[at].astype(np.uint64)
+        rows = _rows((kind, last + kind, before + kind, (k1 * np.uint64(CLASSES) + k2) * np.uint64(CLASSES) + kind), _SALT[FEATURES:])
+        rows[0] = ROWS + self.kind[at]
+        return at, rows
+
+
+def _rows(values: tuple[np.ndarray, ...], salts: np.ndarray) -> np.ndarray:
+    rows = np.empty((len(values), len(values[0])), np.int64)
+    for row, value, salt in zip(rows, values, salts, strict=False):
+        value = (value ^ salt) * salt
+        value ^= value >> np.uint64(31)
+        value *= np.uint64(0xBF58476D1CE4E5B9)
+        row[:] = value >> np.uint64(65 - ROWS.bit_length())
+    return rows
 
 
 def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """(tokens, classes) log probabilities; the sums of weights are held within LIMIT, so none overflows."""
+    """(tokens, columns) log probabilities; the sums of weights are held within LIMIT, so none overflows."""
     scores = np.take(weights, rows[0], axis=0, mode="clip")
     part = np.empty_like(scores)
     for row in rows[1:]:
@@ -152,13 +213,17 @@ def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class Trainer:
-    """Adaptive gradient descent from given weights, on one task's documents."""
+    """Adaptive gradient descent from given weights, on one task's documents; a row of weights has one step size."""
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights.copy()
-        self.squares = np.full_like(weights, 1e-2)
+        self.squares = np.full(len(weights), FIRST_SQUARE, np.float32)
         self.seen = np.zeros(len(weights))
 
+    def learn(self, rows: np.ndarray, kinds: np.ndarray) -> None:
+        for low in range(0, rows.shape[1], BATCH):
+            self.update(rows[:, low : low + BATCH], kinds[low : low + BATCH])
+
     def update(self, rows: np.ndarray, kinds: np.ndarray) -> None:
         slope = log_softmax(self.weights, rows)
         np.exp(slope, out=slope)
@@ -172,17 +237,14 @@ class Trainer:
         often = np.argsort(-count, kind="stable")
         starts, count = starts[often], count[often]
         which, order = ordered[starts], order % len(kinds)
-        total = np.zeros((len(which), CLASSES), np.float32)
-        for k, rest in enumerate(np.searchsorted(-count, -np.arange(1, min(count[0], SINGLY) + 1), "right")):
+        total = np.take(slope, order[starts], axis=0, mode="clip")
+        for k, rest in enumerate(np.searchsorted(-count, -np.arange(2, min(count[0], SINGLY) + 1), "right"), 1):
             total[:rest] += np.take(slope, order[starts[:rest] + k], axis=0, mode="clip")
         for row in range(int(np.searchsorted(-count, -SINGLY, "left"))):
             total[row] += np.take(slope, order[starts[row] + SINGLY : starts[row] + count[row]], axis=0).sum(axis=0)
-        total /= np.sqrt(count)[:, None].astype(np.float32)
-        squares = np.take(self.squares, which, axis=0, mode="clip")
-        squares += total * total
+        squares = self.squares[which] + np.einsum("ij,ij->i", total, total) / (count * total.shape[1]).astype(np.float32)
         self.squares[which] = squares
-        total *= RATE
-        total /= np.sqrt(squares)
+        total *= (RATE / np.sqrt(squares * count))[:, None].astype(np.float32)
         self.weights[which] -= total
         self.seen[which] += count
 
@@ -218,89 +280,113 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word binary, count long").groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def _class_sums(counts: DataFrame, own: dict[bytes, int]) -> DataFrame:
+def _cell_sums(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    own, named, cells = vocabulary.own, vocabulary.named, CLASSES * MEMBERS
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kinds = np.array([class_of(w, own) for w in batch.column(0).to_pylist()])
-        total = np.bincount(kinds, batch.column(1).to_numpy(), CLASSES).astype(np.int64)
-        distinct = np.bincount(kinds, minlength=CLASSES)
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(total), pa.array(distinct)], names=["kind", "total", "n"])
+        found = np.array([cell_of(w, own, named) for w in batch.column(0).to_pylist()])
+        distinct = np.bincount(found, minlength=cells)
+        met = np.flatnonzero(distinct)
+        total = np.bincount(found, batch.column(1).to_numpy(), cells).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met]), pa.array(distinct[met])], names=["cell", "total", "n"])
 
-    return map_batches(counts, work, "kind long, total long, n long").groupBy("kind").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return map_batches(counts, work, "cell long, total long, n long").groupBy("cell").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 def _summed(group: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(x, np.float64) for x in group.column("slab").to_pylist()]
-    return pa.table({"block": group.column("block")[:1], "slab": [np.sum(parts, axis=0).tobytes()]})
+    total = np.zeros(len(group.column("slab")[0].as_py()) // 8)
+    for slab in group.column("slab"):
+        total += np.frombuffer(slab.as_buffer(), np.float64)
+    return pa.table({c: group.column(c)[:1] for c in ("factor", "block", "slot")} | {"slab": [total.tobytes()]})
 
 
-def _trained(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """The class model's weights after PASSES rounds of descent in tasks and averaging.
+def _tasks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """`docs` in fewer tasks, each of as many splits, of about DOCS_PER_TASK documents; and how many tasks at most."""
+    splits = docs.rdd.getNumPartitions()
+    wanted = blocks_for(docs.count(), DOCS_PER_TASK) + 5
+    tasks = blocks_for(splits, max(1, splits // wanted))
+    return docs.coalesce(tasks), tasks
 
-    At first only the feature that every token has weighs: the classes' own shares.
-    """
-    docs = docs.coalesce(blocks_for(docs.count(), DOCS_PER_TASK) + 5)
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    weights[Tokens(vocabulary, [[END]]).features()[0, 0]] = np.log((vocabulary.class_total + 1) / (vocabulary.total + CLASSES))
+
+def _trained(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The classes' and the members' weights after PASSES rounds of descent in tasks and averaging."""
+    weights = vocabulary.starting_weights()
+    docs, tasks = _tasks(docs)
+    schema = "factor long, block long, slot long, slab binary"
     for _ in range(PASSES):
         given = sent(docs.sparkSession, (vocabulary, weights))
 
         def run(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             known, start = given()
-            trainer = Trainer(start)
+            outer, inner = (Trainer(w) for w in start)
             for batch in batches:
                 for _, texts in text_chunks(batch.column(1)):
                     tokens = known.read(texts)
-                    rows = tokens.features()
-                    for low in range(0, rows.shape[1], BATCH):
-                        trainer.update(rows[:, low : low + BATCH], tokens.kind[low : low + BATCH])
-            slot = TaskContext.get().partitionId() % _SLOTS
-            for block, slab in trainer.slabs():
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([slot]), pa.array([slab], pa.binary())], names=["block", "slot", "slab"])
-
-        slabs = docs.mapInArrow(run, "block long, slot long, slab binary")
-        for keys in (["block", "slot"], ["block"]):
-            summed = slabs.groupBy(*keys).applyInArrow(_summed, "block long, slab binary")
-            slabs = summed.withColumn("slot", F.lit(0).cast("long"))
-        weights = weights.copy()
+                    outer.learn(tokens.features(), tokens.kind)
+                    at, rows = tokens.inner()
+                    inner.learn(rows, tokens.member[at])
+            slot = TaskContext.get().partitionId()
+            for factor, trainer in enumerate((outer, inner)):
+                for block, slab in trainer.slabs():
+                    row = [pa.array([x]) for x in (factor, block, slot)]
+                    yield pa.RecordBatch.from_arrays([*row, pa.array([slab], pa.binary())], names=["factor", "block", "slot", "slab"])
+
+        slabs, left = docs.mapInArrow(run, schema), tasks
+        while True:
+            slabs = slabs.withColumn("slot", F.floor(F.col("slot") / _FAN)).groupBy("factor", "block", "slot").applyInArrow(_summed, schema)
+            left = blocks_for(left, _FAN)
+            if left == 1:
+                break
+        weights = tuple(w.copy() for w in weights)
         for row in slabs.collect():
-            both = np.frombuffer(row.slab).reshape(_SLAB, CLASSES + 1)
+            matrix = weights[row.factor][row.block * _SLAB : (row.block + 1) * _SLAB]
+            both = np.frombuffer(row.slab).reshape(len(matrix), -1)
             seen = both[:, -1] > 0
-            weights[row.block * _SLAB : (row.block + 1) * _SLAB][seen] = both[seen, :-1] / both[seen, -1:]
+            matrix[seen] = both[seen, :-1] / both[seen, -1:]
     return weights
 
 
+def token_scores(tokens: Tokens, weights: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """log10 probability of each token's class and of its member there."""
+    score = np.empty(len(tokens.kind))
+
+    def add(matrix: np.ndarray, at: np.ndarray, rows: np.ndarray, columns: np.ndarray, given: np.ndarray) -> None:
+        for low in range(0, len(at), BATCH):
+            part = slice(low, low + BATCH)
+            score[at[part]] = given[part] + np.take_along_axis(log_softmax(matrix, rows[:, part]), columns[part, None], 1)[:, 0]
+
+    add(weights[0], np.arange(len(score)), tokens.features(), tokens.kind, np.zeros(len(score)))
+    at, rows = tokens.inner()
+    add(weights[1], at, rows, tokens.member[at], score[at])
+    return score / np.log(10)
+
+
 SCORED = (
     "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, "
-    "rare array<struct<word:binary,kind:long,n:long>>"
+    "rare array<struct<word:binary,cell:long,n:long>>"
 )
 
 
-def _scored(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> DataFrame:
+def _scored(docs: DataFrame, vocabulary: Vocabulary, weights: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Each text's figures without its rare words' counts, and those words."""
     given = sent(docs.sparkSession, (vocabulary, weights))
-    rare = pa.list_(pa.struct([("word", pa.binary()), ("kind", pa.int64()), ("n", pa.int64())]))
+    rare = pa.list_(pa.struct([("word", pa.binary()), ("cell", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model = given()
         row = TaskContext.get().partitionId() << 40
-        frequent_base, frequent_inside = known.base(known.count), known.inside(known.count, known.kind)
+        frequent_base, frequent_inside = known.base(known.count), known.inside(known.count, known.cell)
         for batch in batches:
             for first, texts in text_chunks(batch.column(1)):
                 tokens = known.read(texts)
-                rows = tokens.features()
-                score = np.concatenate(
-                    [
-                        np.take_along_axis(log_softmax(model, rows[:, low : low + BATCH]), tokens.kind[low : low + BATCH, None], 1)[:, 0]
-                        for low in range(0, rows.shape[1], BATCH)
-                    ]
-                ).astype(np.float64) / np.log(10)
+                score = token_scores(tokens, model)
                 common = tokens.number >= 0
                 base = np.zeros(len(score))
                 base[common] = frequent_base[tokens.number[common]]
                 score[common] += frequent_inside[tokens.number[common]]
                 owner = np.repeat(np.arange(len(texts)), tokens.sizes)[tokens.rare].tolist()
                 left: list[Counter] = [Counter() for _ in texts]
-                kinds = dict(zip(tokens.rare_words, tokens.kind[tokens.rare].tolist(), strict=True))
+                cells = dict(zip(tokens.rare_words, tokens.cell[tokens.rare].tolist(), strict=True))
                 for doc, word in zip(owner, tokens.rare_words, strict=True):
                     left[doc][word] += 1
                 columns = [
@@ -310,7 +396,7 @@ def _scored(docs: DataFrame, vocabulary: Vocabulary, weights: np.ndarray) -> Dat
                     pa.array(np.add.reduceat(common.astype(np.int64), tokens.starts)),
                     pa.array(np.add.reduceat(base, tokens.starts)),
                     pa.array(np.add.reduceat(score, tokens.starts)),
-                    pa.array([[{"word": w, "kind": kinds[w], "n": n} for w, n in c.items()] for c in left], rare),
+                    pa.array([[{"word": w, "cell": cells[w], "n": n} for w, n in c.items()] for c in left], rare),
                 ]
                 row += len(texts)
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
@@ -340,18 +426,18 @@ def score_texts(docs: DataFrame, training, key: str = "doc_id", text: str = "tex
             break
     frequent = sorted(counts.filter(level >= least).collect(), key=lambda r: (-r["count"], r.word))
     vocabulary = Vocabulary([(bytes(r.word), r["count"]) for r in frequent], sums.total, sums.n)
-    for r in _class_sums(counts, vocabulary.own).collect():
-        vocabulary.class_total[r.kind], vocabulary.class_distinct[r.kind] = r.total, r.n
+    for r in _cell_sums(counts, vocabulary).collect():
+        vocabulary.cell_total[r.cell], vocabulary.cell_distinct[r.cell] = r.total, r.n
     weights = _trained(taught, vocabulary)
     scored = stored(_scored(docs, vocabulary, weights), "lm-scored")
-    classes = F.array(*[F.lit(float(x)) for x in vocabulary.class_total + vocabulary.class_distinct + 1])
+    rooms = F.array(*map(F.lit, vocabulary.room().tolist()))
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.*")
     rare = rare.join(counts, "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
     whole = float(vocabulary.total + 1 * (vocabulary.distinct + 1))
     rare = rare.groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
         F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.lit(whole))).alias("base"),
-        F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.get(classes, F.col("kind")))).alias("inside"),
+        F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.get(rooms, F.col("cell")))).alias("inside"),
     )
     found = scored.drop("rare").join(rare, "row", "left")
     added = {"n_known": "known", "base_score": "base", "score": "inside"}
