@@ -4,8 +4,8 @@ Each task packs the documents it reads, so nothing is shuffled and a lost task p
 own input again to the same sequences. Full sequences of long documents are cut off; the
 rest of a document goes to the open window, or a new one, that leaves the least sum over
 fill levels of the squared number of windows at that level. The counts stand in one array.
-At its end, and when too many windows are open, a task tops up its fullest windows with
-pieces cut from its emptiest ones.
+At its end, and when too many windows are open, a task empties its emptiest window; what was
+in it is placed by the same rule, and may then be cut where a window is full.
 """
 
 import os
@@ -26,7 +26,7 @@ from fareflow.llm.common import give_back, table, text_chunks
 
 SEQUENCE = 2048
 END_ID = 1
-# Windows a task holds open at most; 8 kB each.
+# Windows a task holds open at most, 8 kB each. The fewer, the more documents are cut; sequences are as full.
 MAX_OPEN = 4096
 # Words whose ids a task has met of late, in each of two tables, and as many of the time before; about 200 bytes each.
 CACHED_WORDS = 400_000
@@ -129,7 +129,7 @@ class Packer:
         if total > whole * self.size:
             yield from self._place((doc, total, whole * self.size, ids[whole * width :]))
         if self.count > MAX_OPEN:
-            yield from self.top_up()
+            yield from self.empty_one()
 
     def _place(self, piece: tuple) -> Iterator[tuple]:
         length, n = len(piece[3]) // _ID, self.levels
@@ -158,35 +158,38 @@ class Packer:
         self.count += 1
         self.open[level].append(window)
 
-    def top_up(self) -> Iterator[tuple]:
-        """Closes open windows: the emptiest are cut up to fill the others; one stays open."""
-        queue = sorted(((k, w) for k, ws in self.open.items() for w in ws), key=lambda x: x[0])
-        self.open.clear()
-        self.levels[:] = 0
-        self.count = 0
-        donor: list[tuple] = []
-        while queue:
-            level, window = queue.pop()
-            while level < self.size and (donor or queue):
-                if not donor:
-                    donor = queue.pop(0)[1]
-                    continue
-                doc, total, start, ids = donor.pop()
-                take = min(self.size - level, len(ids) // _ID)
-                window.append((doc, total, start, ids[: take * _ID]))
-                if take * _ID < len(ids):
-                    donor.append((doc, total, start + take, ids[take * _ID :]))
-                level += take
-            if level == self.size:
+    def empty_one(self) -> Iterator[tuple]:
+        """Takes the emptiest window away and places what is in it into the others."""
+        for piece in self._take(int(np.flatnonzero(self.levels)[0])):
+            yield from self._place_in_open(piece)
+
+    def _place_in_open(self, piece: tuple) -> Iterator[tuple]:
+        """As `_place`, but into open windows while there are any; a part that closes one may be cut off for it."""
+        doc, total, start, ids = piece
+        while ids:
+            length, n = len(ids) // _ID, self.levels
+            change = np.full(self.size, 2 * self.size * MAX_OPEN)
+            change[: self.size - length] = 2 * (n[length : self.size] - n[: self.size - length]) + 2
+            change[self.size - length :] = 1 - 2 * n[self.size - length : self.size]
+            # No window stands at the level 0.
+            change[n[: self.size] == 0] = 2 * self.size * MAX_OPEN
+            level = self.size - 1 - int(np.argmin(change[::-1]))
+            if not n[level]:
+                self._put(length, [(doc, total, start, ids)])
+                return
+            take = min(self.size - level, length)
+            window = self._take(level)
+            window.append((doc, total, start, ids[: take * _ID]))
+            if level + take == self.size:
                 yield from self._close(window)
             else:
-                self._put(level, window)
-        if donor:
-            self._put(sum(len(p[3]) // _ID for p in donor), donor)
+                self._put(level + take, window)
+            start, ids = start + take, ids[take * _ID :]
 
     def end(self) -> Iterator[tuple]:
         """Closes everything; the last window is cut into sequences whose lengths are powers of two."""
-        yield from self.top_up()
+        while self.count > 1:
+            yield from self.empty_one()
         rest = [p for ws in self.open.values() for w in ws for p in w]
         left = sum(len(p[3]) // _ID for p in rest)
         while left:
