@@ -26,7 +26,7 @@ from fareflow.llm.common import give_back, table, text_chunks
 
 SEQUENCE = 2048
 END_ID = 1
-# Windows a task holds open at most, 8 kB each. The fewer, the more documents are cut; sequences are as full.
+# Windows a task holds open at most, 8 kB each. It bears on which documents are cut; sequences are as full with any.
 MAX_OPEN = 4096
 # Words whose ids a task has met of late, in each of two tables, and as many of the time before; about 200 bytes each.
 CACHED_WORDS = 400_000
