@@ -163,12 +163,16 @@ def _score_all(spark: SparkSession, sf_dir: str, paths: list[str], root: str, tr
     )
 
 
+# Rows of the largest file that the driver damages, at some 60 bytes each: its whole body passes through the driver.
+DAMAGED_ROWS = 100_000
+
+
 def _damage(spark: SparkSession, folder: str) -> None:
-    """Zeros in the middle of a Parquet folder's only file, whose footer stays good; by Spark's own file system."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
+    """Zeros in the middle of the largest of a Parquet folder's files, whose footer stays good; by Spark's own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    (part,) = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
+    sizes = storage.part_sizes(spark, folder)
+    part = spark._jvm.org.apache.hadoop.fs.Path(path, max(sizes, key=sizes.get))
     stream = fs.open(part)
     body = bytearray(stream.readAllBytes())
     stream.close()
@@ -198,8 +202,10 @@ def score_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed inputs and two whose damage shows only in the scan: every run as `score` has it, by value."""
     root = scratch_path(spark, "many-files")
     paths, trips = _mixed_inputs(spark, sf_dir, root)
+    # Without columns that no scan reads: the damage has to lie in those it does.
+    whole = V.event_trips(spark, sf_dir).select(*S.trip_columns(labelled=False))
     for k in range(2):
-        V.event_trips(spark, sf_dir).coalesce(1).write.parquet(f"{root}/damaged-{k}.parquet")
+        whole.write.option("maxRecordsPerFile", DAMAGED_ROWS).parquet(f"{root}/damaged-{k}.parquet")
         _damage(spark, f"{root}/damaged-{k}.parquet")
     return _score_all(spark, sf_dir, [f"{root}/damaged-0.parquet", *paths, f"{root}/damaged-1.parquet"], root, trips)
 

@@ -64,6 +64,13 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+def part_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Bytes of each part file that lies right in the folder, by name."""
+    location, fs = _resolve(spark, folder)
+    sizes = {status.getPath().getName(): status.getLen() for status in fs.listStatus(location)}
+    return {name: n for name, n in sizes.items() if name.startswith("part-")}
+
+
 def size(spark: SparkSession, path: str) -> int:
     location, fs = _resolve(spark, path)
     return fs.getContentSummary(location).getLength()
