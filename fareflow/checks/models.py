@@ -4,6 +4,7 @@ Fitted trees have no SQL form: the queries state what must hold whatever was fit
 stored predictions, by value, against those of `score`.
 """
 
+import math
 from functools import cache
 
 from pyspark.errors import StreamingQueryException
@@ -260,12 +261,28 @@ def refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.crossJoin(F.broadcast(valid))
 
 
+# Rows of the largest file that lands, so that no task that writes or mends one grows with the table.
+LANDED_ROWS = 1_000_000
+
+
+def _land(trips: DataFrame, landing: str, files: int) -> None:
+    """Lands the trips as so many files or more, by the tasks that read them."""
+    rows = min(LANDED_ROWS, max(1, math.ceil(trips.count() / files)))
+    trips.write.mode("append").option("maxRecordsPerFile", rows).parquet(landing)
+
+
+def _landed(spark: SparkSession, root: str) -> dict[str, int]:
+    """The landed files' sizes, by name."""
+    return storage.part_sizes(spark, f"{root}/landing")
+
+
 def stream_intake_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files landing in a folder, scored by a stream that drains it."""
+    """Files landing in a folder, scored in two batches by a stream that drains it."""
     root = scratch_path(spark, "stream")
     trips = V.event_trips(spark, sf_dir)
-    trips.repartition(4).write.parquet(f"{root}/landing")
-    arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=2)
+    _land(trips, f"{root}/landing", 4)
+    half = math.ceil(len(_landed(spark, root)) / 2)
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=half)
     model = saved_model(spark, sf_dir)
     start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return _as_expected(read_predictions_by_run(spark, f"{root}/out", "parquet"), score(model, trips))
@@ -282,41 +299,45 @@ def _stream_against_batch(spark: SparkSession, root: str, model: PipelineModel,
 
 
 def stream_batch_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream and a batch run over the same trips: how many predictions differ, counting copies."""
+    """A stream of two batches and a batch run over the same trips: how many predictions differ, counting copies."""
     root = scratch_path(spark, "stream")
     trips = V.line_trips(spark, sf_dir)
-    trips.repartition(4).write.parquet(f"{root}/landing")
+    _land(trips, f"{root}/landing", 4)
     model = saved_model(spark, sf_dir)
-    arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=3)
+    most = math.ceil(3 * len(_landed(spark, root)) / 4)
+    arriving = arriving_trips(spark, f"{root}/landing", trips.schema, files_per_batch=most)
     start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return _stream_against_batch(spark, root, model, trips)
 
 
-def _broken_stream(spark: SparkSession, sf_dir: str) -> tuple[str, PipelineModel, DataFrame, Exception | None]:
-    """A stream that has drained half of the line items when a file without a column lands; how it ended."""
+def _broken_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str, PipelineModel, DataFrame, Exception | None]:
+    """A stream that has drained half of the line items when the rest lands, one file of it without a column; that file, and how it ended."""
     root, model, trips = scratch_path(spark, "stream"), saved_model(spark, sf_dir), V.line_trips(spark, sf_dir)
-    trips.filter("PULocationID % 2 = 0").repartition(2).write.parquet(f"{root}/landing")
+    _land(trips.filter("PULocationID % 2 = 0"), f"{root}/landing", 2)
+    drained = _landed(spark, root)
     arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
     start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    rest = trips.filter("PULocationID % 2 <> 0").coalesce(1)
     arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
-    rest.drop("passenger_count").write.mode("append").parquet(f"{root}/landing")
+    _land(trips.filter("PULocationID % 2 <> 0"), f"{root}/landing", 1)
+    sizes = {name: n for name, n in _landed(spark, root).items() if name not in drained}
+    bad = max(sizes, key=sizes.get)
+    # One file's rows: the whole one waits aside while the other has its name.
+    whole = spark.read.schema(trips.schema).parquet(f"{root}/landing/{bad}").coalesce(1)
+    whole.write.parquet(f"{root}/mended")
+    whole.drop("passenger_count").write.parquet(f"{root}/faceless")
+    storage.promote_part(spark, f"{root}/faceless", f"{root}/landing/{bad}")
     query = start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint")
     try:
         query.awaitTermination()
-        return root, model, trips, None
+        return root, bad, model, trips, None
     except StreamingQueryException as error:
-        return root, model, trips, error
-
-
-def _landed(spark: SparkSession, root: str) -> set[str]:
-    return {name for name in storage.children(spark, f"{root}/landing") if name.startswith("part-")}
+        return root, bad, model, trips, error
 
 
 def stream_layout_break(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file without a column lands while the stream runs: it stops by the file's name, the batch uncommitted, nothing stored of it."""
-    root, model, trips, error = _broken_stream(spark, sf_dir)
-    named = any(name in str(error) for name in _landed(spark, root)) and "passenger_count" in str(error)
+    """A file without a column lands among whole ones: the stream stops by its name, the batch uncommitted, nothing stored of it."""
+    root, bad, model, trips, error = _broken_stream(spark, sf_dir)
+    named = bad in str(error) and "passenger_count" in str(error)
     planned, done = (len([n for n in storage.children(spark, f"{root}/checkpoint/{kind}") if n.isdigit()]) for kind in ("offsets", "commits"))
     found = _stream_against_batch(spark, root, model, trips.filter("PULocationID % 2 = 0"))
     return found.select("*", F.lit(bool(error) and named).alias("named"), F.lit(planned - done).alias("uncommitted"))
@@ -324,11 +345,8 @@ def stream_layout_break(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file is put right under its name and the stream started again: it ends with every row of all files, once."""
-    root, model, trips, error = _broken_stream(spark, sf_dir)
-    rest, whole = trips.filter("PULocationID % 2 <> 0").coalesce(1), f"{root}/mended"
-    rest.write.parquet(whole)
-    (bad,) = [name for name in _landed(spark, root) if name in str(error)]
-    storage.promote_part(spark, whole, f"{root}/landing/{bad}")
+    root, bad, model, trips, _ = _broken_stream(spark, sf_dir)
+    storage.promote_part(spark, f"{root}/mended", f"{root}/landing/{bad}")
     arriving = arriving_trips(spark, f"{root}/landing", trips.schema)
     start_intake(model, arriving, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return _stream_against_batch(spark, root, model, trips)

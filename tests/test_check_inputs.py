@@ -83,3 +83,69 @@ def test_one_of_many_files_is_damaged(spark, tmp_path):
     assert spark.read.parquet(folder).count() == 4000
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         spark.read.parquet(folder).agg(F.sum("half")).collect()
+
+
+class Drained:
+    def awaitTermination(self):
+        return True
+
+
+def _lines(spark, root):
+    lines = spark.range(0, 4000, 1, 3).select(
+        (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") % 50 + 1).cast("double").alias("l_quantity"),
+        (F.col("id") % 10).alias("l_suppkey"),
+        (F.col("id") % 200).alias("l_partkey"),
+        (F.col("id") % 9000 + 900).cast("double").alias("l_extendedprice"),
+        F.timestamp_seconds(F.lit(820454400) + F.col("id") * 3611).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    lines.write.parquet(str(root / "lineitem.parquet"))
+    return str(root)
+
+
+def test_what_lands_while_the_stream_runs_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(models, "LANDED_ROWS", 300, raising=False)
+    monkeypatch.setattr(models, "saved_model", lambda *_: None)
+    monkeypatch.setattr(models, "start_intake", lambda *_, **__: Drained())
+    root = models._broken_stream(spark, _lines(spark, tmp_path))[0]
+    rows = _rows_of_files(spark, f"{root}/landing")
+    assert sum(rows.values()) == 4000
+    assert max(rows.values()) <= 300
+    lacking = [name for name in rows if "passenger_count" not in storage.parquet_columns(spark, f"{root}/landing/{name}")]
+    assert len(lacking) == 1
+    mended = spark.read.parquet(f"{root}/mended")
+    assert mended.count() == rows[lacking[0]] and "passenger_count" in mended.columns
+
+
+@pytest.mark.parametrize("name", ["stream_layout_break", "stream_restart"])
+def test_a_broken_stream_of_many_files(spark, tables, tmp_path, monkeypatch, name):
+    model = fit_fares(clean_trips(V.event_trips(spark, tables), labelled=True), partitions=2, max_iter=1)
+    monkeypatch.setattr(models, "LANDED_ROWS", 300, raising=False)
+    monkeypatch.setattr(models, "saved_model", lambda *_: model)
+    lines = _lines(spark, tmp_path)
+    trips = clean_trips(V.line_trips(spark, lines), labelled=False)
+    row = models.QUERIES[name](spark, lines).first()
+    if name == "stream_restart":
+        assert (row.streamed, row.differing) == (trips.count(), 0)
+    else:
+        assert (row.streamed, row.differing, row.named, row.uncommitted) == (trips.filter("PULocationID % 2 = 0").count(), 0, True, 1)
+
+
+@pytest.mark.parametrize("most", [300, 10_000])
+def test_two_batches_of_bounded_files(spark, tmp_path, monkeypatch, most):
+    seen = []
+
+    def stop(_spark, landing, *_args, files_per_batch, **_kwargs):
+        seen.extend([landing, files_per_batch])
+        raise Stop
+
+    monkeypatch.setattr(models, "LANDED_ROWS", most, raising=False)
+    monkeypatch.setattr(models, "saved_model", lambda *_: None)
+    monkeypatch.setattr(models, "arriving_trips", stop)
+    with pytest.raises(Stop):
+        models.stream_batch_agreement(spark, _lines(spark, tmp_path))
+    landing, batch = seen
+    rows = _rows_of_files(spark, landing)
+    assert sum(rows.values()) == 4000
+    assert max(rows.values()) <= min(most, 1000)
+    assert len(rows) / 2 <= batch < len(rows)
