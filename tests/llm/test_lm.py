@@ -234,3 +234,27 @@ def test_sums_of_many_tasks_are_the_same_in_a_tree(spark, monkeypatch):
     monkeypatch.setattr(lm, "_FAN", 2)
     deep = lm._trained(docs, known)
     assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(wide, deep))
+
+
+def test_a_step_and_a_score_take_one_exponential_for_each_token_and_class(monkeypatch):
+    rng = np.random.default_rng(6)
+    rows, kinds = rng.integers(0, ROWS, (FEATURES, 300)), rng.integers(0, CLASSES, 300)
+    weights, taken, exp = rng.normal(size=(ROWS, CLASSES)).astype(np.float32), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, **kw: taken.append(x.size) or exp(x, **kw))
+    Trainer(weights).update(rows, kinds)
+    assert sum(taken) == 300 * CLASSES
+
+
+def test_texts_are_read_as_their_words():
+    rng, letters = np.random.default_rng(8), [*"aAbBéİ", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", " ", "\ud800"]
+    frequent = [(END, 9), (b"a", 4), (b"bb", 3), ("é".encode(), 2)]
+    for listed in (frequent, frequent[1:], []):
+        known = Vocabulary(listed, 20, 9)
+        number = {w: k for k, (w, _) in enumerate(listed)}
+        for _ in range(300):
+            texts = ["".join(rng.choice(letters, rng.integers(0, 9))) for _ in range(rng.integers(1, 5))]
+            tokens, want = known.read(texts), [lm.words(t) + [END] for t in texts]
+            assert tokens.sizes.tolist() == [len(w) for w in want]
+            flat = [w for text in want for w in text]
+            assert tokens.number.tolist() == [number.get(w, -1) for w in flat]
+            assert tokens.rare_words == [w for w in flat if w not in number]
