@@ -28,8 +28,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Windows a task holds open at most, 8 kB each. It bears on which documents are cut; sequences are as full with any.
 MAX_OPEN = 4096
-# Words whose ids a task has met of late, in each of two tables, and as many of the time before; about 200 bytes each.
-CACHED_WORDS = 400_000
+# Words whose ids a task has met of late, and stems inside them, and as many of each of the time before; about 200 bytes each.
+CACHED_WORDS = 200_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -71,14 +71,20 @@ class WordIds:
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _plain(self, stem: str) -> bytes:
+        spelled = stem if stem.isascii() else "".join([ALPHABET[b] for b in stem.encode()])
+        return self._packed([token.id for token in self._model.tokenize(spelled)])
+
     def _stem(self, stem: str) -> bytes:
-        if (known := self._stems.get(stem)) is None:
-            if (known := self._older_stems.get(stem)) is None:
-                spelled = stem if stem.isascii() else "".join([ALPHABET[b] for b in stem.encode()])
-                known = self._packed([token.id for token in self._model.tokenize(spelled)])
-            if len(self._stems) >= CACHED_WORDS:
-                self._older_stems, self._stems = self._stems, {}
-            self._stems[stem] = known
+        """Those of the letters inside a word; letters that were met as a word of their own are not kept twice."""
+        for met in (self._words, self._stems, self._older):
+            if (known := met.get(stem)) is not None:
+                return known
+        if (known := self._older_stems.get(stem)) is None:
+            known = self._plain(stem)
+        if len(self._stems) >= CACHED_WORDS:
+            self._older_stems, self._stems = self._stems, {}
+        self._stems[stem] = known
         return known
 
     def _new(self, word: str) -> bytes:
@@ -95,6 +101,8 @@ class WordIds:
         stem = word.rstrip(_TRAILING)
         low = stem.lower()
         if low.isalpha() and (low.isascii() and stem.isascii() or max(stem) < "\u0250" and is_normalized("NFC", stem)):
+            if low == word:
+                return self._plain(low)
             ids = self._stem(low)
             if len(stem) < len(word):
                 ids += self._new(word[len(stem) :])

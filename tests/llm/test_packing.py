@@ -166,3 +166,25 @@ def test_no_window_is_left_open_and_no_id_lost_whatever_the_bound(monkeypatch):
             sizes[row[5]] += row[2]
         assert all(x & (x - 1) == 0 for x in sizes.values())
         assert sum(x < 64 for x in sizes.values()) <= 6
+
+
+def test_a_word_of_plain_letters_is_kept_once(whole):
+    words = WordIds(public_tokenizer())
+    text = "window door Window, window DOOR,"
+    assert words.of(text) == whole(text).tobytes()
+    kept = [w for table in (words._words, words._older, words._stems, words._older_stems) for w in table]
+    assert sorted(kept) == sorted(["", "window", "door", "Window,", "DOOR,", ","])
+
+
+def test_the_word_tables_fit_beside_five_other_tasks(monkeypatch):
+    """Of words none of which comes again: what four full tables hold, at 200 bytes a word."""
+    monkeypatch.setattr(WordIds, "_packed", lambda self, ids: bytes(8))
+    monkeypatch.setattr(WordIds, "_plain", lambda self, stem: bytes(8), raising=False)
+    words, most = WordIds(public_tokenizer()), 0
+    monkeypatch.setattr(words, "_tokenizer", None)
+    monkeypatch.setattr(words, "_model", type("Model", (), {"tokenize": staticmethod(lambda stem: [])})())
+    letters = str.maketrans("0123456789", "abcdefghij")
+    for low in range(0, 1_000_000, 50_000):
+        words.of(" ".join(f"x{k}".translate(letters) for k in range(low, low + 50_000)))
+        most = max(most, sum(map(len, (words._words, words._older, words._stems, words._older_stems))))
+    assert most * 200 < 100_000_000
