@@ -236,13 +236,11 @@ def test_sums_of_many_tasks_are_the_same_in_a_tree(spark, monkeypatch):
     assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(wide, deep))
 
 
-def test_a_step_and_a_score_take_one_exponential_for_each_token_and_class(monkeypatch):
-    rng = np.random.default_rng(6)
-    rows, kinds = rng.integers(0, ROWS, (FEATURES, 300)), rng.integers(0, CLASSES, 300)
-    weights, taken, exp = rng.normal(size=(ROWS, CLASSES)).astype(np.float32), [], np.exp
-    monkeypatch.setattr(np, "exp", lambda x, **kw: taken.append(x.size) or exp(x, **kw))
-    Trainer(weights).update(rows, kinds)
-    assert sum(taken) == 300 * CLASSES
+def test_no_word_is_looked_up_one_by_one():
+    """The frequent ones by Arrow, in one call; only the others become Python objects."""
+    known = settled(many_words(), 200)
+    assert not any(isinstance(value, dict) and len(value) >= 200 for value in vars(known).values())
+    assert known.read([f"w{k} w{k + 1} zz{k}" for k in range(50)]).rare_words == [f"zz{k}".encode() for k in range(50)]
 
 
 def test_texts_are_read_as_their_words():
