@@ -29,7 +29,7 @@ END_ID = 1
 # Windows a task holds open at most, 8 kB each. It bears on which documents are cut; sequences are as full with any.
 MAX_OPEN = 4096
 # Words whose ids a task has met of late, and stems inside them, and as many of each of the time before; about 200 bytes each.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

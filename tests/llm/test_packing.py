@@ -177,7 +177,7 @@ def test_a_word_of_plain_letters_is_kept_once(whole):
 
 
 def test_the_word_tables_fit_beside_five_other_tasks(monkeypatch):
-    """Of words none of which comes again: what four full tables hold, at 200 bytes a word."""
+    """Of plain words none of which comes again: what the full tables hold, at 200 bytes a word."""
     monkeypatch.setattr(WordIds, "_packed", lambda self, ids: bytes(8))
     monkeypatch.setattr(WordIds, "_plain", lambda self, stem: bytes(8), raising=False)
     words, most = WordIds(public_tokenizer()), 0
@@ -187,4 +187,4 @@ def test_the_word_tables_fit_beside_five_other_tasks(monkeypatch):
     for low in range(0, 1_000_000, 50_000):
         words.of(" ".join(f"x{k}".translate(letters) for k in range(low, low + 50_000)))
         most = max(most, sum(map(len, (words._words, words._older, words._stems, words._older_stems))))
-    assert most * 200 < 100_000_000
+    assert most * 200 <= 60_000_000
