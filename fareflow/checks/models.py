@@ -164,23 +164,26 @@ def _score_all(spark: SparkSession, sf_dir: str, paths: list[str], root: str, tr
     )
 
 
-# Rows of the largest file that the driver damages, at some 60 bytes each: its whole body passes through the driver.
+# Rows of the largest file that is damaged, and bytes of it that pass through the driver at a time.
 DAMAGED_ROWS = 100_000
+_PIECE = 1 << 16
 
 
 def _damage(spark: SparkSession, folder: str) -> None:
-    """Zeros in the middle of the largest of a Parquet folder's files, whose footer stays good; by Spark's own file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    """Zeros in the middle of the largest of a Parquet folder's files, whose footer stays good; by Spark's own file system, piece by piece."""
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     sizes = storage.part_sizes(spark, folder)
-    part = spark._jvm.org.apache.hadoop.fs.Path(path, max(sizes, key=sizes.get))
-    stream = fs.open(part)
-    body = bytearray(stream.readAllBytes())
-    stream.close()
-    body[4 : len(body) // 2] = bytes(len(body) // 2 - 4)
-    out = fs.create(part, True)
-    out.write(bytes(body))
-    out.close()
+    name = max(sizes, key=sizes.get)
+    half = sizes[name] // 2
+    whole, out = fs.open(hadoop.fs.Path(path, name)), fs.create(hadoop.fs.Path(path, f".{name}"), True)
+    out.write(whole.readNBytes(4))
+    for at in range(4, half, _PIECE):
+        out.write(bytes(min(_PIECE, half - at)))
+    whole.seek(half)
+    hadoop.io.IOUtils.copyBytes(whole, out, _PIECE, True)
+    storage.replace(spark, f"{folder}/.{name}", f"{folder}/{name}")
 
 
 _EVENT_KIND = "concat('kind=', event_type, '.parquet')"

@@ -1,5 +1,7 @@
 """Inputs that the queries make for themselves: none grows, with the table, in what one task or the driver holds."""
 
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,21 @@ def test_one_of_many_files_is_damaged(spark, tmp_path):
         spark.read.parquet(folder).agg(F.sum("half")).collect()
 
 
+def test_the_damaged_file_is_not_held_by_the_driver(spark, tmp_path):
+    folder = str(tmp_path / "trips.parquet")
+    spark.range(0, 1_000_000, 1, 1).select(F.rand(3).alias("a"), F.rand(4).alias("b")).write.parquet(folder)
+    (part,) = (tmp_path / "trips.parquet").glob("part-*")
+    before = part.read_bytes()
+    tracemalloc.start()
+    models._damage(spark, folder)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    half = len(before) // 2
+    assert half > 5_000_000 > 5 * most
+    assert part.read_bytes() == before[:4] + bytes(half - 4) + before[half:]
+    assert [x.name for x in (tmp_path / "trips.parquet").iterdir() if "part-" in x.name and not x.name.endswith(".crc")] == [part.name]
+
+
 class Drained:
     def awaitTermination(self):
         return True
